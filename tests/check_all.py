@@ -14,7 +14,7 @@ from compare import compare, connect
 
 sf_dir, wanted = sys.argv[1], sys.argv[2:]
 spark = (
-    SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").getOrCreate()
 )
 spark.sparkContext.setLogLevel("ERROR")
