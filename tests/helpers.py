@@ -1,0 +1,76 @@
+"""Hand-made events for the operator tests."""
+
+import gzip
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from issuetrail.functions.timestamps import parse_iso
+from issuetrail.sources.schemas import EVENT
+
+
+def issue_event(number, created, closed=None, at=None, labels=("bug",), repo="apache/r", kind="IssuesEvent", event_id="1", **more):
+    issue = {
+        "html_url": f"https://github.com/{repo}/issues/{number}",
+        "title": f"t{number}",
+        "number": number,
+        "created_at": created,
+        "closed_at": closed,
+        "labels": [{"name": name} for name in labels],
+    }
+    issue.update(more)
+    return {"type": kind, "id": event_id, "created_at": at or closed or created, "repo": {"name": repo}, "payload": {"issue": issue}}
+
+
+def pull_event(number, creator, merged=None, body="", at="2024-01-01T00:00:00Z", repo="apache/r", event_id="1"):
+    pull = {
+        "html_url": f"https://github.com/{repo}/pull/{number}",
+        "user": {"login": creator},
+        "merged_at": merged,
+        "body": body,
+    }
+    return {"type": "PullRequestEvent", "id": event_id, "created_at": at, "repo": {"name": repo}, "payload": {"pull_request": pull}}
+
+
+def comment_on_pull(number, creator, merged=None, body="", at="2024-01-01T00:00:00Z", repo="apache/r", event_id="1"):
+    issue = {
+        "html_url": f"https://github.com/{repo}/pull/{number}",
+        "user": {"login": creator},
+        "body": body,
+        "pull_request": {"merged_at": merged},
+    }
+    return {"type": "IssueCommentEvent", "id": event_id, "created_at": at, "repo": {"name": repo}, "payload": {"issue": issue}}
+
+
+def frame(spark, events):
+    """Event frame of event dictionaries, through the reader's schema."""
+    lines = spark.createDataFrame([(json.dumps(e),) for e in events], "value string")
+    parsed = lines.select(F.from_json("value", EVENT).alias("e")).select("e.*")
+    at = parse_iso(F.col("created_at"))
+    return (
+        parsed.withColumn("event_ts", at)
+        .withColumn("archive_date", F.to_date("event_ts"))
+        .withColumn("archive_hour", F.hour("event_ts"))
+        .withColumn("file_path", F.date_format("event_ts", "yyyy-MM-dd"))
+    )
+
+
+def agents(spark, *identifiers, names=None):
+    names = names or {}
+    rows = [(i, names.get(i, f"Name {i}"), None) for i in identifiers]
+    return spark.createDataFrame(rows, "github_identifier string, name string, website string")
+
+
+def write_archive(folder, files):
+    """{file stem: lines or bytes} as gzipped files; a line may be an event or raw text."""
+    os.makedirs(folder, exist_ok=True)
+    for stem, lines in files.items():
+        path = os.path.join(folder, f"{stem}.json.gz")
+        if isinstance(lines, bytes):
+            with open(path, "wb") as out:
+                out.write(lines)
+            continue
+        with gzip.open(path, "wt") as out:
+            for line in lines:
+                out.write((line if isinstance(line, str) else json.dumps(line)) + "\n")
