@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuetrail.operators.issues import is_issue_event, issue_variants
@@ -99,12 +99,16 @@ def run_summary(issues: DataFrame, resolution: DataFrame, params: Params) -> Dat
     )
 
 
-def run_parameters(spark: SparkSession, params: Params) -> DataFrame:
-    """One row echoing what the run was asked to do."""
-    return spark.range(1).select(
+def parameter_columns(params: Params) -> list[Column]:
+    """What the run was asked to do, as constant columns."""
+    return [
         F.lit(params.last_updated).alias("last_updated"),
         F.lit(params.window_days).alias("leaderboard_time_frame_days"),
         F.lit(params.gap_days).alias("longstanding_gap_days"),
         F.array(*[F.lit(o) for o in params.orgs]).cast("array<string>").alias("tracked_orgs"),
         F.array(*[F.lit(w) for w in params.wanted_labels]).cast("array<string>").alias("patch_wanted_labels"),
-    )
+    ]
+
+
+def run_parameters(spark: SparkSession, params: Params) -> DataFrame:
+    return spark.range(1).select(*parameter_columns(params))

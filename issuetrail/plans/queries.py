@@ -265,20 +265,9 @@ def batch_stats(spark, sf_dir):
 def run_summary(spark, sf_dir):
     mined = _mined(spark, sf_dir)
     summary = audit.run_summary(mined.issues, mined.resolution(_agents(spark, sf_dir)), PARAMS)
-    run = audit.run_parameters(spark, PARAMS)
-    # Two one-row tables, put side by side on a constant key.
-    return (
-        summary.withColumn("one", F.lit(1))
-        .join(run.withColumn("one", F.lit(1)), "one")
-        .select(
-            *summary.columns,
-            "last_updated",
-            "leaderboard_time_frame_days",
-            "longstanding_gap_days",
-            F.array_join("tracked_orgs", ",").alias("tracked_orgs"),
-            F.array_join("patch_wanted_labels", ",").alias("patch_wanted_labels"),
-        )
-    )
+    echoed = summary.select("*", *audit.parameter_columns(PARAMS))
+    lists = ("tracked_orgs", "patch_wanted_labels")
+    return echoed.withColumns({c: F.array_join(c, ",") for c in lists})
 
 
 # The event table covers January 2024; the range asked about is wider on both sides.

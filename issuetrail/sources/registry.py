@@ -16,12 +16,7 @@ def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
     A file that does not hold one JSON object gives a row of NULLs, so it is counted but never
     active. Hidden folders are skipped by the reader.
     """
-    files = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .text(folder)
-    )
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     entry = F.when(F.col("value").rlike(r"^\s*\{"), F.from_json("value", AGENT)).alias("entry")
     return files.select(
         entry,

@@ -1,0 +1,71 @@
+"""What the plans must look like, so that they hold at a thousand times the data."""
+
+import contextlib
+import io
+
+import pytest
+from helpers import pull_event, write_archive
+
+import __spark_entry__ as entry
+from issuetrail.sources import archive, curated
+from issuetrail.sources.session import new_folder
+from issuetrail.sources.testdata import PARAMS
+
+SF = "/root/testdata/sf0.001"
+WRITING = {"registry_append", "scan_roundtrip", "curated_leaderboard", "document_roundtrip", "results_roundtrip", "incremental_leaderboard"}
+
+
+def plan(df, mode="formatted"):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
+def test_no_cross_joins_python_or_unpartitioned_windows(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window", "Pandas"):
+        assert operator not in text, operator
+
+
+def test_bodies_stay_below_the_first_shuffle(spark):
+    text = plan(entry.queries()["leaderboard"](spark, SF))
+    exchanges = [block for block in text.split("\n\n") if ") Exchange" in block]
+    assert exchanges and not any("body" in block for block in exchanges)
+
+
+def test_small_registry_is_broadcast(spark):
+    assert "BroadcastHashJoin LeftSemi" in plan(entry.queries()["leaderboard"](spark, SF))
+
+
+def test_large_registry_is_not_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in plan(entry.queries()["leaderboard"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_other_event_types_are_not_scanned(spark):
+    assert "lineitem" not in plan(entry.queries()["issue_snapshots"](spark, SF))
+    assert "orders" not in plan(entry.queries()["pr_facts"](spark, SF))
+
+
+def test_curated_reads_prune_partitions_and_columns(spark, tmp_path):
+    folder = new_folder(spark, "test-plan")
+    write_archive(str(tmp_path / "a"), {"2024-01-02-0": [pull_event(1, "a")]})
+    curated.write_curated(archive.scan_archive(spark, str(tmp_path / "a")), PARAMS, folder)
+    rows = curated.read_curated(spark, folder, "pull", PARAMS.start.date(), PARAMS.end.date())
+    text = plan(rows.select("pr_url", "merged_at"))
+    assert "kind" in text.split("PartitionFilters")[1].split("\n")[0] and "event_date" in text.split("PartitionFilters")[1].split("\n")[0]
+    schema = text.split("ReadSchema")[1].split("\n")[0]
+    assert "merged_at" in schema and "issue_urls" not in schema and "labels" not in schema
+
+
+def test_top_agents_sort_without_a_global_sort(spark):
+    assert "TakeOrderedAndProject" in plan(entry.queries()["top_agents"](spark, SF))

@@ -1,0 +1,200 @@
+import gzip
+import json
+from datetime import date, datetime, timezone
+
+import pytest
+from helpers import agents, issue_event, pull_event, write_archive
+from pyspark.sql import functions as F
+
+from issuetrail.operators.registration import active_agents, registry_summary
+from issuetrail.params import Params
+from issuetrail.plans import mining
+from issuetrail.sources import archive, curated, registry, results
+from issuetrail.sources.session import new_folder
+
+PARAMS = Params(as_of=datetime(2024, 7, 1, tzinfo=timezone.utc))
+
+
+@pytest.fixture
+def files(tmp_path):
+    folder = str(tmp_path / "archive")
+    write_archive(
+        folder,
+        {
+            "2024-01-02-23": [issue_event(1, "2024-01-02T23:00:00Z")],
+            "2024-01-03-0": [
+                issue_event(2, "2023-11-01T00:00:00Z", closed="2024-01-03T00:30:00Z", event_id="2"),
+                "{bad json",
+                pull_event(7, "my-agent[bot]", merged="2024-01-03T00:10:00Z", body="Fixes #2"),
+                {"type": "WatchEvent", "id": "4", "repo": {"name": "apache/r"}, "payload": {"action": "started"}},
+            ],
+            "2024-01-04-7": [{**issue_event(3, "2023-11-01T00:00:00Z"), "created_at": None}],
+        },
+    )
+    return folder
+
+
+@pytest.fixture
+def registry_folder(tmp_path):
+    folder = tmp_path / "registry"
+    (folder / "sub").mkdir(parents=True)
+    (folder / ".git").mkdir()
+    entries = {
+        "my-agent[bot].json": {"name": "Mine", "organization": "o", "website": "w", "status": "active"},
+        "sub/nested.json": {"name": "Nested", "status": "active", "extra": 1},
+        "idle.json": {"name": "Idle", "status": "inactive"},
+        "list.json": [{"name": "L", "status": "active"}],
+        ".git/hidden.json": {"name": "Hidden", "status": "active"},
+    }
+    for name, entry in entries.items():
+        (folder / name).write_text(json.dumps(entry, indent=2))
+    (folder / "bad.json").write_text("{bad")
+    (folder / "notes.txt").write_text("{}")
+    return str(folder)
+
+
+def test_scan_keeps_good_lines_and_quarantines_bad_ones(spark, files):
+    scanned = archive.scan_archive(spark, files)
+    assert archive.readable(scanned).count() == 5
+    bad = archive.quarantine(scanned).collect()
+    assert [(r["line"], str(r["archive_date"]), r["archive_hour"]) for r in bad] == [("{bad json", "2024-01-03", 0)]
+    assert bad[0]["file_path"].endswith("/2024-01-03-0.json.gz")
+
+
+def test_labels_arrive_as_json_text_and_numbers_as_text(spark, files):
+    row = archive.read_events(spark, files).where("payload.issue.number = '2'").select("payload.issue.labels").first()
+    assert json.loads(row["labels"]) == [{"name": "bug"}]
+
+
+def test_file_hour_stands_in_for_a_missing_event_time(spark, files):
+    row = archive.read_events(spark, files).where("payload.issue.number = '3'").select("event_ts").first()
+    assert row["event_ts"].strftime("%Y-%m-%d %H") == "2024-01-04 07"
+
+
+def test_day_range_opens_only_its_files(spark, files):
+    # A broken file outside the range would fail the scan if it were opened.
+    write_archive(files, {"2024-02-01-0": b"this is no gzip file"})
+    inside = archive.read_events(spark, files, first=date(2024, 1, 3), last=date(2024, 1, 3))
+    assert {r["type"] for r in inside.collect()} == {"IssuesEvent", "PullRequestEvent", "WatchEvent"}
+
+
+def test_long_lines_are_read_whole_unless_bounded(spark, tmp_path):
+    folder = str(tmp_path / "long")
+    write_archive(folder, {"2024-01-03-0": [pull_event(1, "a", body="x" * 3_000_000 + " #9")]})
+    assert archive.read_events(spark, folder).select(F.length("payload.pull_request.body").alias("n")).first()["n"] == 3_000_003
+    bounded = archive.read_events(spark, folder, largest_string=1000)
+    assert bounded.where("payload.pull_request.body IS NOT NULL").count() == 0
+
+
+def test_damaged_files_fail_unless_skipped_and_are_listed(spark, files, tmp_path):
+    whole = gzip.compress(json.dumps(issue_event(9, "2024-01-01T00:00:00Z")).encode() * 50)
+    two_members = gzip.compress(b"a\n") + gzip.compress(b"b\n")
+    write_archive(files, {"2024-01-05-0": whole[:-20], "2024-01-05-1": b"no gzip", "2024-01-05-3": two_members})
+    with pytest.raises(Exception):
+        archive.read_events(spark, files).collect()
+    assert archive.read_events(spark, files, skip_damaged_files=True).where("payload.issue.number = '2'").count() == 1
+    listed = {r["file_path"].rsplit("/", 1)[1]: r["fault"] for r in archive.damaged_files(spark, files).collect()}
+    assert set(listed) == {"2024-01-05-0.json.gz", "2024-01-05-1.json.gz"}
+    assert listed["2024-01-05-0.json.gz"] == "cut short"
+
+
+def test_archive_files(spark, files):
+    listed = archive.archive_files(spark, files).collect()
+    assert sorted((str(r["archive_date"]), r["archive_hour"]) for r in listed) == [
+        ("2024-01-02", 23), ("2024-01-03", 0), ("2024-01-04", 7)
+    ]
+
+
+def test_curated_rows(spark, files):
+    folder = new_folder(spark, "test-curated")
+    curated.write_curated(archive.scan_archive(spark, files), PARAMS, folder)
+    assert {r["issue_number"] for r in curated.read_curated(spark, folder, "issue").collect()} == {"1", "2", "3"}
+    pull = curated.read_curated(spark, folder, "pull").collect()
+    assert [r["issue_urls"] for r in pull] == [["https://github.com/apache/r/issues/2"]]
+    assert curated.read_curated(spark, folder, "corrupt").first()["line"] == "{bad json"
+    one_day = curated.read_curated(spark, folder, "issue", date(2024, 1, 4), date(2024, 1, 4))
+    assert {r["issue_number"] for r in one_day.collect()} == {"3"}
+
+
+def test_registry_files(spark, registry_folder):
+    read = registry.read_registry_files(spark, registry_folder)
+    assert {r["github_identifier"]: r["name"] for r in active_agents(read).collect()} == {"my-agent[bot]": "Mine", "nested": "Nested"}
+    assert tuple(registry_summary(read).first()) == (2, 5)
+
+
+def test_last_file_of_an_identifier_wins(spark, registry_folder, tmp_path):
+    copy = tmp_path / "registry" / "zzz"
+    copy.mkdir()
+    (copy / "nested.json").write_text('{"name": "Second", "status": "active"}')
+    agents_read = active_agents(registry.read_registry_files(spark, registry_folder))
+    assert {r["github_identifier"]: r["name"] for r in agents_read.collect()}["nested"] == "Second"
+
+
+def some_results(spark):
+    known = spark.createDataFrame(
+        [("A", "wa", "a", 2), ("B", "wb", "b", 0)], "name string, website string, github_identifier string, resolved_issues bigint"
+    )
+    months = spark.createDataFrame([("A", "2024-02", 2), ("A", "2024-01", 0)], "agent_name string, month string, resolved bigint")
+    wanted = spark.createDataFrame(
+        [(f"u{n}", "o/r", f"t{n}", str(n), "open", "2024-01-01T00:00:00Z", None, ["bug"]) for n in range(25)],
+        "url string, repo string, title string, number string, state string, created_at string, closed_at string, labels array<string>",
+    )
+    return results.Results(known, months, wanted, mining.run_parameters(spark, PARAMS))
+
+
+def test_one_document_has_everything(spark):
+    rows = results.documents(some_results(spark)).collect()
+    assert len(rows) == 1
+    document = json.loads(rows[0]["document"])
+    assert list(document) == ["last_updated", "leaderboard", "monthly_metrics", "wanted_issues", "metadata"]
+    assert document["leaderboard"]["a"] == {"name": "A", "website": "wa", "github_identifier": "a", "resolved_issues": 2}
+    assert document["monthly_metrics"] == {"agents": ["A"], "months": ["2024-01", "2024-02"], "data": {"A": {"monthly_resolved": [0, 2]}}}
+    assert len(document["wanted_issues"]) == 25 and document["wanted_issues"][0]["closed_at"] is None
+    assert document["metadata"]["tracked_orgs"] == ["apache", "github", "huggingface"]
+    assert document["last_updated"] == "2024-07-01T00:00:00+00:00"
+
+
+@pytest.mark.parametrize("per_document", [1000, 4])
+def test_documents_read_back_whole(spark, per_document):
+    folder = new_folder(spark, "test-documents")
+    made = some_results(spark)
+    results.write_documents(made, folder, issues_per_document=per_document)
+    read = results.read_documents(spark, folder)
+    for part in ("leaderboard", "monthly", "wanted"):
+        expected, got = getattr(made, part), getattr(read, part)
+        assert sorted(map(repr, got.select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_document_defaults(spark, tmp_path):
+    path = tmp_path / "document.json"
+    path.write_text(json.dumps({"leaderboard": {"x": {}}, "wanted_issues": [{"url": "u"}]}, indent=2))
+    read = results.read_documents(spark, str(path), one_per_file=True)
+    assert tuple(read.leaderboard.first()) == ("Unknown", "N/A", "x", 0)
+    assert read.wanted.first()["labels"] == [] and read.wanted.first()["title"] == ""
+    assert read.monthly.count() == 0
+    assert read.run.first()["last_updated"] == "Unknown"
+
+
+def test_absent_results_are_empty_with_columns(spark, tmp_path):
+    for read in (results.read_results(spark, str(tmp_path / "none")), results.read_documents(spark, str(tmp_path / "none"))):
+        assert read.leaderboard.count() == 0
+        assert read.leaderboard.columns == ["name", "website", "github_identifier", "resolved_issues"]
+        assert read.wanted.columns[0] == "url" and read.monthly.columns == ["agent_name", "month", "resolved"]
+
+
+def test_whole_run(spark, files, registry_folder):
+    output = new_folder(spark, "test-run")
+    mining.run(spark, files, registry_folder, output, PARAMS)
+    read = results.read_results(spark, f"{output}/results")
+    assert {r["github_identifier"]: r["resolved_issues"] for r in read.leaderboard.collect()} == {"my-agent[bot]": 1, "nested": 0}
+    assert [tuple(r) for r in read.monthly.collect()] == [("Mine", "2024-01", 1)]
+    assert read.wanted.count() == 0
+    again = results.read_documents(spark, f"{output}/documents")
+    assert again.leaderboard.count() == 2
+
+
+def test_run_without_agents_stops(spark, files, tmp_path):
+    (tmp_path / "nobody").mkdir()
+    (tmp_path / "nobody" / "idle.json").write_text('{"status": "inactive"}')
+    with pytest.raises(ValueError):
+        mining.run(spark, files, str(tmp_path / "nobody"), new_folder(spark, "test-none"), PARAMS)

@@ -1,0 +1,52 @@
+from datetime import datetime, timezone
+
+from helpers import agents, write_archive
+from test_operators import random_events
+
+from issuetrail.operators.resolution import resolved_issues
+from issuetrail.params import Params
+from issuetrail.plans.mining import mine_events
+from issuetrail.sources import archive
+from issuetrail.sources.session import new_folder
+from issuetrail.streaming import incremental
+
+PARAMS = Params(as_of=datetime(2024, 7, 1, tzinfo=timezone.utc))
+
+
+def state_rows(mined):
+    return [sorted(map(repr, part.collect())) for part in (mined.issues, mined.facts, mined.links)]
+
+
+def test_incremental_equals_batch(spark, tmp_path):
+    events = random_events(11)
+    source, folder = str(tmp_path / "archive"), new_folder(spark, "test-incremental")
+    by_hour = {}
+    for e in events:
+        stamp = f"{e['created_at'][:10]}-{int(e['created_at'][11:13])}"
+        by_hour.setdefault(stamp, []).append(e)
+    stamps = sorted(by_hour)
+    # The later half arrives first.
+    write_archive(source, {s: by_hour[s] for s in stamps[len(stamps) // 2:]})
+    incremental.fold_new_files(spark, source, folder, PARAMS, files_per_batch=60)
+    write_archive(source, {s: by_hour[s] + ["{bad"] for s in stamps[: len(stamps) // 2]})
+    incremental.fold_new_files(spark, source, folder, PARAMS, files_per_batch=60)
+    incremental.fold_new_files(spark, source, folder, PARAMS)
+
+    expected = state_rows(mine_events(archive.read_events(spark, source), PARAMS))
+    folded = incremental.read_state(spark, folder)
+    assert state_rows(folded) == expected
+    assert incremental.folded_lines(spark, folder).count() == len(stamps) // 2
+
+    # A batch folded once more under another number changes nothing.
+    again = archive.scan_archive(spark, source)
+    incremental.fold_epoch(again, 1000, folder, PARAMS)
+    assert state_rows(incremental.read_state(spark, folder)) == expected
+
+    compacted = new_folder(spark, "test-compacted")
+    incremental.compact_state(spark, folder, compacted)
+    merged = incremental.read_state(spark, compacted)
+    assert state_rows(merged) == expected
+    known = agents(spark, "a", "b")
+    assert resolved_issues(merged.issues, merged.resolution(known), PARAMS).count() == resolved_issues(
+        folded.issues, folded.resolution(known), PARAMS
+    ).count()
