@@ -28,8 +28,8 @@ def identifier_from_file(file_name: Column) -> Column:
 
 
 def is_filled(text: Column) -> Column:
-    """Neither NULL nor empty."""
-    return text.isNotNull() & (text != "")
+    """Neither NULL nor empty; NULL counts as unmet in a filter."""
+    return text != ""
 
 
 def is_blank(text: Column) -> Column:

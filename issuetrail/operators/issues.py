@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from issuetrail.functions.grouping import KEY_HASH, group_by_text
 from issuetrail.functions.labels import has_wanted_label, joined_labels, label_names
 from issuetrail.functions.references import tracked_repo
 from issuetrail.functions.text import is_filled
@@ -89,9 +90,8 @@ def issue_state(rows: DataFrame) -> DataFrame:
 
 
 def merge_issue_state(state: DataFrame) -> DataFrame:
-    return state.groupBy("issue_url").agg(
-        F.max("latest").alias("latest"), F.min("created_at").alias("created_at")
-    )
+    merged = group_by_text(state, "issue_url").agg(F.max("latest").alias("latest"), F.min("created_at").alias("created_at"))
+    return merged.drop(KEY_HASH)
 
 
 def issue_snapshots(merged: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from issuetrail.functions.grouping import KEY_HASH, group_by_text
 from issuetrail.functions.references import own_issue_prefix, referenced_issue, references
 from issuetrail.functions.text import is_filled
 from issuetrail.functions.timestamps import normalize_iso
@@ -67,7 +68,8 @@ def pull_state(rows: DataFrame) -> DataFrame:
 
 def merge_pull_state(state: DataFrame) -> DataFrame:
     """A merge is final: a merged row wins over any number of unmerged ones."""
-    return state.groupBy("pr_url").agg(F.max("latest").alias("latest"), F.max("merged_at").alias("merged_at"))
+    merged = group_by_text(state, "pr_url").agg(F.max("latest").alias("latest"), F.max("merged_at").alias("merged_at"))
+    return merged.drop(KEY_HASH)
 
 
 def pull_facts_of(merged: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from issuetrail.functions.grouping import group_by_text
 from issuetrail.functions.labels import has_wanted_label
 from issuetrail.functions.text import is_filled
 from issuetrail.functions.timestamps import instant_of, whole_days
@@ -30,16 +31,11 @@ def issue_resolution(links: DataFrame, merges: DataFrame) -> DataFrame:
     reaches its reducer as one row per map task.
     """
     first = F.min(F.struct("merged_at", "pr_url", "creator")).alias("first")
-    return (
-        links.join(merges, "pr_url")
-        .groupBy("issue_url")
-        .agg(first)
-        .select(
-            "issue_url",
-            F.col("first.creator").alias("agent"),
-            F.col("first.pr_url").alias("pr_url"),
-            F.col("first.merged_at").alias("merged_at"),
-        )
+    return group_by_text(links.join(merges, "pr_url"), "issue_url").agg(first).select(
+        "issue_url",
+        F.col("first.creator").alias("agent"),
+        F.col("first.pr_url").alias("pr_url"),
+        F.col("first.merged_at").alias("merged_at"),
     )
 
 

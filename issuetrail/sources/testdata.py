@@ -26,8 +26,7 @@ def _iso(moment: str) -> str:
 
 
 def _repo(key: str) -> str:
-    return f"""CASE {key} % 4 WHEN 0 THEN 'apache/r0' WHEN 1 THEN 'github/r1' WHEN 2 THEN 'huggingface/r2'
-               ELSE 'other/r3' END"""
+    return f"array('apache/r0', 'github/r1', 'huggingface/r2', 'other/r3')[CAST({key} % 4 AS INT)]"
 
 
 _LABELS = """CASE WHEN startswith(o_orderpriority, '1') THEN '[{"name":"Bug"}]'
