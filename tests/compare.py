@@ -20,6 +20,16 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(plain, key=repr)
 
 
+_SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+def type_differences(spark, con, query, sql, sf_dir):
+    """Columns whose type differs between the query and its SQL."""
+    found = {name: _SQL_TYPES.get(kind, kind) for name, kind in query(spark, sf_dir).dtypes}
+    expected = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {name: (found[name], expected.get(name)) for name in found if found[name] != expected.get(name)}
+
+
 def compare(spark, con, query, sql, sf_dir):
     df = query(spark, sf_dir)
     found = rows_of(df.columns, [tuple(r) for r in df.collect()])
