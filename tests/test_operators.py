@@ -2,7 +2,6 @@ import random
 from dataclasses import replace
 from datetime import datetime, timezone
 
-import pytest
 from helpers import agents, comment_on_pull, frame, issue_event, pull_event
 from pyspark.sql import functions as F
 

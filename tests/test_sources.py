@@ -3,7 +3,7 @@ import json
 from datetime import date, datetime, timezone
 
 import pytest
-from helpers import agents, issue_event, pull_event, write_archive
+from helpers import issue_event, pull_event, write_archive
 from pyspark.sql import functions as F
 
 from issuetrail.operators.registration import active_agents, registry_summary
