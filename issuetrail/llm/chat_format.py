@@ -165,3 +165,26 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     return read_back(format_turns(rows.union(more)))
+
+
+#: Escaped text is as long as the text, one more for each backslash and control string; the system prompt's rules are one row a transition.
+SQL = r"""
+WITH rows AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, t.turn, t.role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
+), steps AS (
+    SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS next FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+), allowed(before, role) AS (
+    VALUES ('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'), ('assistant', 'tool'), ('tool', 'assistant')
+), checked AS (
+    SELECT s.*, a.role IS NOT NULL AND (s.next IS NOT NULL OR s.role = 'assistant') AS fine,
+        length(regexp_replace(s.text, '(\\|###|</turn>)', '\\\1', 'g')) + length(s.role) + length('### : </turn>') AS written
+    FROM steps s LEFT JOIN allowed a ON a.before = coalesce(s.before, '') AND a.role = s.role
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(written) AS BIGINT) AS formatted_chars, bool_and(fine) AS valid
+FROM checked GROUP BY conv_id
+"""

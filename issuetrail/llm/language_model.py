@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from issuetrail.llm.common import LEAST, ascii_lower, checkpointed, fold, pieces, table, words
 
-ORDER, SYMBOL, ALPHABET = 4, 9, 257
+ORDER, SYMBOL, ALPHABET = 5, 9, 257
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -199,7 +199,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
 
 
-def score(documents: DataFrame, training, most_grams: int = 1_000_000, head_words: int = 1 << 17) -> DataFrame:
+def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_words: int = 1 << 17) -> DataFrame:
     """Code lengths of whole texts under a pretrained model, for each row of documents (doc_id, text); training: a condition for rows to learn from.
 
     (doc_id, version, n_tokens, n_known, train_tokens, base_score, score): log10 probabilities by words and by the byte model. A null text is empty and

@@ -110,4 +110,28 @@ def reported(pages: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge(pages, reported(pages), RULES)
+    # whether the filter alone would have let a page pass is no part of the result
+    return judge(pages, reported(pages), RULES).drop("maybe_listed")
+
+
+SQL = r"""
+WITH parsed AS (
+    SELECT page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+), keyed AS (
+    SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '(/|\.html)$', '') AS key,
+        regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.') AS reported
+    FROM parsed
+), listed AS (
+    SELECT DISTINCT key FROM keyed WHERE reported AND key <> ''
+), rules(kind, domain, prefix) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fitting AS (
+    SELECT page_id, domain || prefix AS rule, kind, row_number() OVER (PARTITION BY page_id ORDER BY length(domain || prefix) DESC) AS nth
+    FROM keyed JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, prefix)
+)
+SELECT k.page_id, k.host, k.path, f.rule, coalesce(f.kind, CASE WHEN l.key IS NULL THEN 'allow' ELSE 'block' END) AS verdict, l.key IS NOT NULL AS listed
+FROM keyed k LEFT JOIN fitting f ON f.page_id = k.page_id AND f.nth = 1 LEFT JOIN listed l ON l.key = k.key
+"""
