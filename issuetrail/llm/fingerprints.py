@@ -151,11 +151,12 @@ def fingerprint_edits(documents: DataFrame, radius: int = 3) -> DataFrame:
     heads = placed.join(wants, ["k", "v"]).select(F.col("to_k").alias("k"), F.col("to_v").alias("v"), F.expr("left(text, half)").alias("head"))
     n = F.char_length("text")
     kept = F.expr("left(text, char_length(text) - char_length(text) div 2)")
-    both = placed.join(heads, ["k", "v"]).select("k", n.cast("long").alias("n"), "text", F.concat(kept, "head").alias("edited"))
+    both = placed.join(heads, ["k", "v"]).select("k", "v", n.cast("long").alias("n"), "text", F.concat(kept, "head").alias("edited"))
     both = both.withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
-    sides = both.select("k", "n", "sha", F.posexplode(F.array("text", "edited")).alias("side", "text"))
-    prints = fingerprint_texts(sides, ["k", "n", "sha", "side"])
-    prints = prints.groupBy("k", "n", "sha").agg(
+    sides = both.select("k", "v", "n", "sha", F.posexplode(F.array("text", "edited")).alias("side", "text"))
+    # the join has dealt texts out by k and v, so these sums need no shuffle
+    prints = fingerprint_texts(sides, ["k", "v", "n", "sha", "side"])
+    prints = prints.groupBy("k", "v", "n", "sha").agg(
         *[F.max(F.when(F.col("side") == side, F.col(f"word_{i}"))).alias(f"{name}_{i}") for side, name in enumerate(("own", "edited")) for i in (0, 1)]
     )
     prints = checkpointed(prints)
