@@ -208,7 +208,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 1500, sample
     """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     rows = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    joined = rows.join(marks, "doc_id").select("text", "toxic")
+    # labels grow with the corpus: the same join at every size, never a broadcast
+    joined = rows.join(marks.hint("merge"), "doc_id").select("text", "toxic")
     totals = {r["toxic"]: r["n"] for r in rows.select("doc_id").join(marks, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not clean or not toxic:
