@@ -14,15 +14,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import LEAST, ascii_lower, checkpointed, fold, pieces, table, words
+from issuetrail.llm.common import LEAST, SPACE, ascii_lower, checkpointed, fold, pieces, table
 
 ORDER, SYMBOL, ALPHABET = 5, 9, 257
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Symbols that are part of a word: all but the end and ASCII white space.
+_IN_WORD = np.ones(1 << SYMBOL, bool)
+_IN_WORD[[0, 33, *range(10, 15)]] = False
 
 
 def events(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram of each event (bytes of the texts and an end after each), and where each text's events begin."""
-    parts = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    """The n-gram of each event (bytes of the texts, A-Z in lower case, and an end after each), and where each text's events begin."""
+    parts = [_LOWER[np.frombuffer(t.encode(), np.uint8)] for t in texts]
     sizes = np.array([len(p) for p in parts])
     starts = np.cumsum(np.append(0, sizes[:-1] + order))
     symbols = np.zeros(int(sizes.sum()) + order * (len(parts) + 1), np.int64)
@@ -74,14 +79,7 @@ def gather(texts: DataFrame, most_grams: int) -> list[tuple[np.ndarray, np.ndarr
         above = levels.where(F.col("length") == length + 1)
         levels = levels.union(above.groupBy(shorter).agg(F.sum("n").alias("n")).withColumn("length", F.lit(length)))
     levels = checkpointed(levels)
-    # at most the square root of twice the corpus' size many different counts; those over the bound's share needn't be told apart
-    by_count = levels.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("grams")).orderBy(F.desc("n")).collect()
-    least, total = (1 << 16) + 1, 0
-    for row in by_count:
-        total += row["grams"]
-        if total > most_grams:
-            break
-        least = row["n"]
+    least = least_count(levels, "n", most_grams)
     kept = levels.where(F.col("n") >= least).select("length", "gram", "n").toArrow()
     length, gram, n = (kept.column(c).to_numpy() for c in ("length", "gram", "n"))
     found = []
@@ -194,9 +192,28 @@ class Trie:
         return result
 
 
+def _split(texts: DataFrame, *keys: str) -> DataFrame:
+    """(keys, word): a row for each word of `text`, A-Z in lower case."""
+    each = texts.select(*keys, F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''")
+    return each.withColumn("word", F.when(F.lower("word") == F.col("word"), F.col("word")).otherwise(ascii_lower(F.col("word"))))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, c) over texts (text, in lower case)."""
-    return texts.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    """(word, c) over texts (text)."""
+    return _split(texts).groupBy("word").agg(F.count("*").alias("c"))
+
+
+def least_count(counts: DataFrame, count: str, most: int) -> int:
+    """The least count that at most `most` rows reach; large counts are told apart by their first nine binary digits."""
+    step = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.floor(F.log2(count)).cast("int") - 8, F.lit(0)))
+    rounded = counts.groupBy((F.col(count) - F.col(count) % step).alias("n")).agg(F.count("*").alias("rows"))
+    least, total = 1 << 62, 0
+    for row in rounded.orderBy(F.desc("n")).collect():
+        total += row["rows"]
+        if total > most:
+            break
+        least = row["n"]
+    return least
 
 
 def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_words: int = 1 << 17) -> DataFrame:
@@ -208,7 +225,7 @@ def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_word
 
     Counts of frequent words, at most `head_words` of at most 64 bytes, are sent to all tasks; all other words meet theirs in a join.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select(F.coalesce("doc_id", F.lit(LEAST)).alias("key"), F.xxhash64("text").alias("version"), "doc_id", "text")
     learned = docs.where(training).select("text")
     trie = gather(learned, most_grams)
@@ -216,25 +233,26 @@ def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_word
     ends = learned.count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     all_tokens, kinds = sums["n"] + ends, sums["v"] + bool(ends)
-    # words of over n / head_words occurrences are fewer than head_words
-    frequent = (F.col("c") * head_words > all_tokens) & (F.octet_length("word") <= 64)
+    short = F.octet_length("word") <= 64
+    frequent = short & (F.col("c") >= least_count(counts.where(short), "c", head_words))
     head, tail = counts.where(frequent), counts.where(~frequent)
-    tokens = docs.select("key", "version", F.explode(words(F.col("text"))).alias("word"))
-    met = tokens.join(F.broadcast(head), "word", "left")
+    met = _split(docs, "key", "version").join(F.broadcast(head), "word", "left")
     gain = F.log10(F.col("c") + 1)
     known = F.sum(F.when(F.col("c").isNotNull(), 1).otherwise(0))
     common = met.groupBy("key", "version").agg(F.sum(gain).alias("gain"), known.alias("known"), F.count("*").alias("met"))
     rare = met.where("c is null").select("key", "version", "word").join(tail, "word").groupBy("key", "version").agg(F.sum(gain).alias("rare_gain"), F.count("*").alias("rare"))
     model = documents.sparkSession.sparkContext.broadcast(trie)  # most_grams at most
 
-    @F.pandas_udf("double")
-    def code_length(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("score double, n long")
+    def code_length(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ready = Trie(model.value)
         for piece in pieces((pd.DataFrame({"text": part}) for part in texts), 1_000_000):
             grams, starts = events(piece["text"].tolist())
-            yield pd.Series(np.add.reduceat(ready.score(grams), starts))
+            symbol = (1 << SYMBOL) - 1
+            begins = _IN_WORD[grams & symbol] & ~_IN_WORD[(grams >> SYMBOL) & symbol]
+            yield pd.DataFrame({"score": np.add.reduceat(ready.score(grams), starts), "n": np.add.reduceat(begins.astype(np.int64), starts)})
 
-    rows = docs.select("key", "version", "doc_id", F.size(words(F.col("text"))).alias("n"), code_length("text").alias("score"))
+    rows = docs.select("key", "version", "doc_id", code_length("text").alias("own")).select("key", "version", "doc_id", "own.*")
     found = rows.join(common, ["key", "version"], "left").join(rare, ["key", "version"], "left")
     zero = F.lit(0.0)
     # equal rows have been summed together
