@@ -26,25 +26,26 @@ def _chunks(lines: Column, divisor: int) -> Column:
 def repeated_lines(rows: DataFrame, divisor: int, least_chars: int) -> DataFrame:
     """(node, version, gone): the places of lines to take out of each text; rows: (node, version, text), equal rows once or more.
 
-    Chunks are counted by hash. Those that occur again are then compared byte by byte with the first occurrence, by node, version and place, and
-    are taken out only if they are the same. Counting combines before the shuffle; a chunk that very many texts share is a hot key of the joins
-    only, which split it.
+    Chunks are counted by hash, without their bytes. The bytes of those that occur again are then compared: all that share a hash must be
+    the same (least and greatest are equal), or none is taken out. Counting and comparing combine before the shuffle; a chunk that very many texts
+    share is a hot key of a join only, which splits it.
     """
+    place = F.struct("node", "version", "at")
     listed = rows.select("node", "version", F.split("text", "\n").alias("lines"))
     placed = listed.select("node", "version", "lines", F.explode(_chunks(F.col("lines"), divisor)).alias("c"))
     chunk = F.array_join(F.slice("lines", F.col("c.at") + 1, F.col("c.size")), "\n")
-    chunks = placed.select("node", "version", F.col("c.at").alias("at"), F.col("c.size").alias("size"), chunk.alias("chunk"))
-    chunks = chunks.where(F.char_length("chunk") >= least_chars).withColumn("hash", F.xxhash64("chunk"))
-    # the place as numbers, compared one after the other
-    place = F.struct("node", "version", "at")
+    chunks = placed.withColumn("chunk", chunk).where(F.char_length("chunk") >= least_chars)
+    chunks = chunks.select("node", "version", "c.at", "c.size", F.xxhash64("chunk").alias("hash"))
     counted = chunks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = checkpointed(counted.where("first <> last").select("hash", "first"))
-    met = chunks.join(again, "hash")
-    held = chunks.join(again.select("hash", F.col("first.node").alias("node"), F.col("first.version").alias("version"), F.col("first.at").alias("at")), ["hash", "node", "version", "at"])
-    held = held.groupBy("hash").agg(F.max("chunk").alias("held"))
-    same = met.where(place != F.col("first")).join(held, "hash").where(F.col("chunk") == F.col("held"))
-    lines = same.select("node", "version", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("line"))
-    # as many places as the text has lines, at most
+    again = counted.where("first <> last").select("hash", "first")
+    met = checkpointed(chunks.join(again, "hash").select("hash", "node", "version", "at", "size", (place == F.col("first")).alias("is_first")))
+    # as many chunks as the text has lines, at most
+    places = met.groupBy("node", "version").agg(F.collect_set(F.struct("hash", "at", "size")).alias("places"))
+    texts = rows.join(places, ["node", "version"]).select(F.split("text", "\n").alias("lines"), F.explode("places").alias("c"))
+    compared = texts.select("c.hash", chunk.alias("chunk")).groupBy("hash").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
+    same = compared.where(F.col("least") == F.col("most")).select("hash")
+    gone = met.where(~F.col("is_first")).join(same, "hash")
+    lines = gone.select("node", "version", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("line"))
     return lines.groupBy("node", "version").agg(F.collect_set("line").alias("gone"))
 
 
@@ -54,26 +55,30 @@ def remove_repeated(documents: DataFrame, divisor: int = 1, least_chars: int = 4
     Of each chunk the first occurrence stays, by doc_id (null last), then by the text's hash, then by place; later ones go, also in the same
     document. Chunks of under `least_chars` characters stay. With the divisor 1 every two neighbouring lines are a chunk, so every repeated
     run of lines goes whole; a larger one makes longer chunks, less to shuffle, and leaves the ends of runs. A null text stays null;
-    a text of which all lines go is empty; equal rows are one document and share its result; other columns are kept as they are.
+    a text of which all lines go is empty; equal rows are one document and share its result; other columns are kept as they are. Of the
+    ids, which are integers, 2^63 - 1 stands for null.
     """
     node, version, gone = "_lines_node", "_lines_version", "_lines_gone"
-    tagged = documents.withColumn(node, F.coalesce(F.col("doc_id").cast("long"), F.lit(MOST))).withColumn(version, F.xxhash64("text"))
-    rows = tagged.where("text is not null").select(F.col(node).alias("node"), F.col(version).alias("version"), "text")
+    more = [c for c in documents.columns if c not in ("doc_id", "text", "n_chars", "removed_lines")]
+    sized = ["n_chars"] if "n_chars" in documents.columns else []
+    tagged = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MOST)).alias(node), F.xxhash64("text").alias(version), "text", *sized, *more)
+    rows = tagged.select(F.col(node).alias("node"), F.col(version).alias("version"), "text")
     found = repeated_lines(rows, divisor, least_chars)
     found = found.select(F.col("node").alias(node), F.col("version").alias(version), F.col("gone").alias(gone))
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
-    result = tagged.join(found, [node, version], "left").withColumn("removed_lines", F.coalesce(F.size(gone), F.lit(0)).cast("long")).withColumn("text", text)
-    if "n_chars" in documents.columns:
-        same_size = F.col("removed_lines") == 0
-        result = result.withColumn("n_chars", F.when(same_size, F.col("n_chars")).otherwise(F.char_length("text")).cast(dict(documents.dtypes)["n_chars"]))
+    result = tagged.join(found, [node, version], "left").withColumn("text", text).withColumn("removed_lines", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
+    result = result.withColumn("doc_id", F.when(F.col(node) != MOST, F.col(node)))
+    if sized:
+        size = F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
+        result = result.withColumn("n_chars", size.cast(dict(documents.dtypes)["n_chars"]))
     return result.select(*[c for c in documents.columns if c != "removed_lines"], "removed_lines")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return remove_repeated(documents).select("doc_id", "n_chars", "removed_lines", "text")
+    cleaned = remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), "removed_lines", "text")
 
 
 #: The query's rows with the divisor 1, where a chunk is two neighbouring lines.
