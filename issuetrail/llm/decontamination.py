@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import pieces, table
+from issuetrail.llm.common import MOST, pieces, table
 
 #: Bytes of a seed. An item of n bytes with k edits keeps n - SEED + 1 - k * SEED seeds: one at least for edits up to a twentieth of it.
 SEED = 16
@@ -101,7 +102,7 @@ def holds(item: bytes, region: bytes, edits: int) -> bool:
 class Block:
     """A bounded number of benchmark items, ready to be met."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float, recall: float, bits: int = 6) -> None:
+    def __init__(self, items: list[tuple[int, str]], share: float, recall: float, bits: int = 4) -> None:
         self.ids = [i for i, _ in items]
         self.texts = [folded(t) for _, t in items]
         self.share = share
@@ -114,8 +115,8 @@ class Block:
         self.at = np.array([f[2] for f in found], np.int64)
         self.marks = np.zeros(1 << _BITS, bool)
         self.marks[(self.seeds >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        # A walk over texts with k edits differs in about 3 k of 3 n places, and seldom in more than three times as many.
-        agree = (1 - 3 * share) ** bits
+        # After an edit the walks of two texts run apart for a while; with a share of k / n edits, steps differ at up to 6 k / n of the places.
+        agree = max(0.05, 1 - 6 * share) ** bits
         repeats = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
         coins = np.random.default_rng(20240501)
         self.walks = coins.integers(0, 2, (repeats, 4096, 256), dtype=np.int64).astype(np.int8)
@@ -195,12 +196,16 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = 0.05
         blocks[-1].append((item_id, text))
         held += len(text)
     kept = [c for c in documents.columns if c != "benchmark_items"]
-    found = documents.select(*kept)
-    parts = []
-    for number, block in enumerate(blocks):
-        found = found.withColumn(f"_items_{number}", _meeting(documents, block, share, recall)(F.coalesce("text", F.lit(""))))
-        parts.append(f"_items_{number}")
-    return found.withColumn("benchmark_items", F.array_sort(F.array_distinct(F.concat(*parts)))).select(*kept, "benchmark_items")
+    text = F.coalesce("text", F.lit(""))
+    if len(blocks) == 1:
+        return documents.select(*kept, _meeting(documents, blocks[0], share, recall)(text).alias("benchmark_items"))
+    # each block in tasks of its own, which hold no other; only hits are joined
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(MOST)).alias("_cgk_node"), F.xxhash64("text").alias("_cgk_version")]
+    hits = [documents.select(*key, F.explode(_meeting(documents, block, share, recall)(text)).alias("_cgk_item")) for block in blocks]
+    names = ["_cgk_node", "_cgk_version"]
+    found = reduce(DataFrame.union, hits).groupBy(*names).agg(F.array_sort(F.collect_set("_cgk_item")).alias("_cgk_items"))
+    tagged = documents.select("*", *key).join(found, names, "left")
+    return tagged.select(*kept, F.coalesce("_cgk_items", F.array().cast("array<bigint>")).alias("benchmark_items"))
 
 
 def _meeting(documents: DataFrame, block: list[tuple[int, str]], share: float, recall: float):
@@ -209,7 +214,7 @@ def _meeting(documents: DataFrame, block: list[tuple[int, str]], share: float, r
     @F.pandas_udf("array<long>")
     def items_met(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ready = Block(sent.value, share, recall)
-        for piece in pieces(pd.DataFrame({"text": part}) for part in texts):
+        for piece in pieces((pd.DataFrame({"text": part}) for part in texts), 4_000_000):
             yield pd.Series([sorted(ids) for ids in ready.met_by(piece["text"].tolist())], dtype=object)
 
     return items_met

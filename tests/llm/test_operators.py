@@ -1,0 +1,352 @@
+"""The operators against brute force, exact round trips or held-out accuracy, with nulls, empty and long texts, ties, repeats and clashing columns."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from issuetrail.llm import chat_format, components, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, personal_data, toxicity, url_filter
+
+DOCS = "doc_id long, text string, source string, n_chars long, word string, hash string, size int"
+WORDS = ["the", "of", "and", "river", "stone", "market", "engine", "cloud", "paper", "silver", "garden", "winter"]
+
+
+def prose(seed, n):
+    pick = random.Random(seed)
+    return " ".join(pick.choice(WORDS) + str(pick.randrange(40)) for _ in range(n))
+
+
+def documents(spark, texts):
+    """Ids 0, 1, ...; columns that clash with names used inside."""
+    rows = [(i, t, f"s{i % 3}", None if t is None else len(t), "w", "h", 1) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def odd(spark):
+    """Nulls, empty and blank texts, a very long one, equal rows, and an id with two texts."""
+    texts = [prose(1, 60), None, "", "  \n\t ", prose(2, 20_000), "one", prose(1, 60), "Éa ß \U0001f600 b\nc"]
+    some = documents(spark, texts)
+    more = spark.createDataFrame([(0, texts[0], "s0", 1, "w", "h", 1), (3, "other text here", None, 1, "w", "h", 1), (None, "no id at all", "s1", 1, None, None, None), (None, None, None, None, None, None, None)], DOCS)
+    return some.union(more)
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+# Fingerprints -------------------------------------------------------------------------------------------
+
+
+def test_edits_and_equal_texts(spark):
+    found = fingerprints.fingerprint_edits(odd(spark)).collect()
+    texts = {}
+    for r in odd(spark).collect():
+        key = -(2**63) if r["doc_id"] is None else r["doc_id"]
+        texts.setdefault(key, []).append(r["text"] or "")
+    texts = {k: max(v, key=len) for k, v in texts.items()}
+    order = sorted(texts, reverse=True)
+    assert len(found) == len(texts)
+    for r in found:
+        key = -(2**63) if r["doc_id"] is None else r["doc_id"]
+        text, following = texts[key], texts[order[(order.index(key) + 1) % len(order)]]
+        half = len(text) // 2
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()
+        assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[0]["fingerprint"] == by_id[6]["fingerprint"] != by_id[4]["fingerprint"]
+    assert by_id[1]["fingerprint"] == "0" * 32
+    assert fingerprints.fingerprint_edits(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3])
+def test_near_pairs_finds_all(spark, radius):
+    pick = random.Random(5)
+    base = [pick.getrandbits(128) for _ in range(40)]
+    values = set(base)
+    for b in base:
+        for flips in range(1, 6):
+            v = b
+            for bit in pick.sample(range(128), flips):
+                v ^= 1 << bit
+            values.add(v)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = [(signed(v & (2**64 - 1)), signed(v >> 64)) for v in values]
+    found = fingerprints.near_pairs(spark.createDataFrame(rows, "w0 long, w1 long"), ["w0", "w1"], radius).collect()
+    ordered = sorted(values)
+    expected = sum((a ^ b).bit_count() <= radius for i, a in enumerate(ordered) for b in ordered[:i])
+    assert len(found) == expected == len({tuple(sorted([(r["a_w0"], r["a_w1"]), (r["b_w0"], r["b_w1"])])) for r in found})
+
+
+# Near-dedup ---------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("radius", [0, 2, 3, 5])
+def test_sliced_links_are_all_links(radius):
+    pick = np.random.default_rng(radius)
+    base = pick.integers(0, 2**63, 12).astype(np.uint64)
+    prints = np.repeat(base, 17) ^ (np.uint64(1) << pick.integers(0, 64, 204).astype(np.uint64)) ^ (np.uint64(1) << pick.integers(0, 64, 204).astype(np.uint64))
+    block = np.sort(pick.integers(0, 3, 204))
+    ends = np.append(np.flatnonzero(np.diff(block)), 203)
+    left = ends[np.searchsorted(ends, np.arange(204))] - np.arange(204)
+    found = {(int(a), int(b)) for x, y in near_dedup.sliced_links(prints, left, radius) for a, b in zip(x, y, strict=True)}
+    assert found == {(i, j) for i in range(204) for j in range(i + 1, 204) if block[i] == block[j] and int(prints[i] ^ prints[j]).bit_count() <= radius}
+
+
+@pytest.mark.parametrize("block_rows", [2048, 8])
+def test_groups_are_those_of_brute_force(spark, block_rows):
+    """With small blocks, buckets are split down to the last bits."""
+    pick = random.Random(9)
+    values = [pick.getrandbits(64) for _ in range(30)]
+    for v in list(values[:6]):
+        for _ in range(40):
+            v ^= 1 << pick.randrange(64)
+            values.append(v)
+    values = sorted({v - (1 << 64) if v >> 63 else v for v in values})
+    edges = near_dedup.print_links(spark.createDataFrame([(v, i) for i, v in enumerate(values)], "print long, node long"), 3, block_rows)
+    found = {r["u"]: r["v"] for r in components.components(edges).collect()}
+    root = list(range(len(values)))
+    for i, a in enumerate(values):
+        for j in range(i):
+            if ((a ^ values[j]) & (2**64 - 1)).bit_count() <= 3:
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    assert [found.get(i, i) for i in range(len(values))] == root
+
+
+def test_one_document_of_each_group_stays(spark):
+    frame = odd(spark)
+    kept = near_dedup.deduplicate(frame)
+    assert kept.columns == frame.columns
+    rows = kept.collect()
+    assert sorted(((r["doc_id"] is None, r["doc_id"], r["text"]) for r in rows if r["doc_id"] in (0, 6)), key=str) == [(False, 0, prose(1, 60))]
+    groups = near_dedup.near_groups(frame).collect()
+    assert {r["component_id"] for r in groups if r["doc_id"] in (0, 6)} == {0}
+    # null, empty and blank texts have the same fingerprint
+    assert {r["component_id"] for r in groups if r["doc_id"] in (1, 2)} == {1}
+    assert len(rows) == len({r["component_id"] if r["component_id"] is not None else r["print"] for r in groups})
+    assert near_dedup.deduplicate(empty(spark)).count() == 0 and near_dedup.near_groups(empty(spark)).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    chain = [(i, i + 1) for i in range(50)] + [(7, 7), (60, 61), (61, 60)]
+    found = {r["u"]: r["v"] for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert found == {**{i: 0 for i in range(1, 51)}, 61: 60}
+
+
+# Line dedup ---------------------------------------------------------------------------------------------
+
+
+def test_repeated_runs_go(spark):
+    shared = "\n".join(prose(100 + i, 20) for i in range(3))
+    texts = [f"{prose(1, 9)}\n{shared}\n{prose(2, 9)}", f"{prose(3, 9)}\n{shared}", f"{prose(4, 9)}\n{shared.splitlines()[0]}\n{prose(5, 9)}", None, "", shared, "a\nb", "a\nb"]
+    frame = documents(spark, texts)
+    result = line_dedup.remove_repeated(frame)
+    assert result.columns == [*frame.columns, "removed_lines"]
+    found = {r["doc_id"]: r for r in result.collect()}
+    assert found[0]["text"] == texts[0] and found[2]["text"] == texts[2] and found[3]["text"] is None and found[4]["text"] == ""
+    assert found[1]["text"] == prose(3, 9) and found[1]["n_chars"] == len(prose(3, 9)) and found[1]["removed_lines"] == 3
+    assert found[5]["text"] == "" and found[7]["text"] == "a\nb"
+    assert line_dedup.remove_repeated(odd(spark)).count() == odd(spark).count()
+    assert line_dedup.remove_repeated(empty(spark)).count() == 0
+
+
+def test_larger_chunks_only_take_what_repeats(spark):
+    shared = "\n".join(prose(200 + i, 12) for i in range(40))
+    frame = documents(spark, [shared, f"{prose(1, 12)}\n{shared}", prose(3, 30)])
+    found = {r["doc_id"]: r for r in line_dedup.remove_repeated(frame, divisor=3).collect()}
+    assert found[0]["removed_lines"] == 0 and 25 <= found[1]["removed_lines"] <= 40
+    assert set(found[1]["text"].split("\n")) <= set(f"{prose(1, 12)}\n{shared}".split("\n"))
+
+
+# Mixing -------------------------------------------------------------------------------------------------
+
+
+def test_mixture_has_the_target_shares(spark):
+    rows = [(i, "x", "a" if i % 10 else ("b" if i % 20 else None), 1, "w", "h", 1) for i in range(6000)]
+    frame = spark.createDataFrame(rows, DOCS)
+    mixed = mixing.replicate(frame, {"b": 0.5})
+    counts = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert abs(counts["b"] / 6000 - 0.5) < 0.04 and abs(sum(counts.values()) / 6000 - 1) < 0.06
+    again = mixing.replicate(frame, {"b": 0.5}).collect()
+    assert again == mixed.collect()
+    assert mixing.replicate(odd(spark), {"s0": 0.9}).columns == [*DOCS.replace(" long", "").replace(" string", "").replace(" int", "").split(", "), "copy"]
+    assert mixing.replicate(empty(spark), {"s0": 0.9}).count() == 0
+
+
+@pytest.mark.parametrize("rate", [0.1, 1.0, 7.5, 300.0])
+def test_steps_are_the_poisson_distribution(spark, rate):
+    steps = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first()["s"]
+    pmf = np.diff(np.array([0.0, *steps]))
+    assert abs(pmf.sum() - 1) < 1e-9 and abs((pmf * np.arange(len(pmf))).sum() - rate) < 1e-6 * rate
+
+
+# Decontamination ----------------------------------------------------------------------------------------
+
+
+def edited(text, edits, seed):
+    pick = random.Random(seed)
+    chars = list(text)
+    for _ in range(edits):
+        at = pick.randrange(len(chars))
+        chars[at : at + 1] = pick.choice([[], ["z"], [chars[at], "y"]])
+    return "".join(chars)
+
+
+def test_passages_with_edits_are_found(spark):
+    items = [prose(1000 + i, 30) for i in range(20)]
+    benchmark = spark.createDataFrame([*enumerate(items), (90, None), (91, ""), (92, "tiny"), (0, items[0])], "item_id long, text string")
+    texts = [f"{prose(i, 50)} {edited(items[i % 20], int(0.05 * len(items[i % 20])) if i % 2 else 0, i).upper()} {prose(i + 500, 50)}" for i in range(200)]
+    clean = [prose(5000 + i, 150) for i in range(100)] + [items[0][: len(items[0]) // 2], None, "", prose(7, 20_000)]
+    frame = documents(spark, texts + clean)
+    found = {r["doc_id"]: r["benchmark_items"] for r in decontamination.contaminated(frame, benchmark).collect()}
+    assert sum(i % 20 in found[i] for i in range(200)) >= 198
+    assert all(not found[i] for i in range(200, len(texts) + len(clean)))
+    kept = decontamination.decontaminate(frame, benchmark)
+    assert kept.columns == frame.columns and kept.count() >= len(clean)
+    assert decontamination.contaminated(odd(spark), benchmark.limit(0)).where(F.size("benchmark_items") > 0).count() == 0
+    split = decontamination.contaminated(frame, benchmark, block_chars=700).select("doc_id", "benchmark_items")
+    assert {r["doc_id"]: r["benchmark_items"] for r in split.collect()} == found
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_holds_is_the_edit_distance_to_a_substring(seed):
+    pick = random.Random(seed)
+    item = "".join(pick.choice("abc") for _ in range(12))
+    region = "".join(pick.choice("abc") for _ in range(30))
+    row = [0] * 31
+    for i, a in enumerate(item, 1):
+        row, before = [i], row
+        for j, b in enumerate(region, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (a != b)))
+    for edits in range(6):
+        assert decontamination.holds(item.encode(), region.encode(), edits) == (min(row) <= edits)
+
+
+# Toxicity -----------------------------------------------------------------------------------------------
+
+
+def test_held_out_toxic_texts_are_told_apart(spark):
+    bad = ["vilewort", "grubface", "muckhead"]
+    rows, marks = [], []
+    for i in range(400):
+        text = prose(i, 40 + i % 50)
+        if i % 5 == 0:
+            text = f"{text[:50]} {bad[i % 3].upper() if i % 2 else bad[i % 3] + 'ly'}! {text[50:]}"
+        rows.append(text)
+        marks.append((i, 1, int(i % 5 == 0)))
+    frame = documents(spark, rows)
+    labels = spark.createDataFrame([*marks, (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame.where(~toxicity.held_out()), labels)
+    scored = {r["doc_id"]: r for r in toxicity.score(frame, model).collect()}
+    assert np.mean([(scored[i]["toxicity"] >= 0.7) == (i % 5 == 0) for i in range(400)]) >= 0.98
+    start, end = scored[5]["toxic_spans"][0]
+    assert rows[5][start:end].lower().startswith("muckhead")
+    assert toxicity.score(odd(spark), model).count() == odd(spark).count()
+    assert toxicity.reject_toxic(frame, labels).columns == frame.columns
+    untold = toxicity.fit(empty(spark), labels)
+    assert {r["toxicity"] for r in toxicity.score(odd(spark), untold).collect()} == {0.0}
+
+
+def test_marginals_are_those_of_all_paths():
+    pick = np.random.default_rng(3)
+    emission, moves = pick.normal(0, 2, 9), np.array([[1.0, 0.4], [0.7, 2.5]])
+    begins = np.array([True, False, False, False, False, True, False, False, False])
+    total, sums = 0.0, np.zeros(9)
+    for path in range(512):
+        y = [path >> i & 1 for i in range(9)]
+        weight = 1.0
+        for t in range(9):
+            weight *= np.exp(emission[t] * y[t]) * (np.exp(0.3 * y[t]) if begins[t] else moves[y[t - 1], y[t]])
+        total += weight
+        sums += weight * np.array(y)
+    p, _, _ = toxicity.forward_backward(emission, begins, moves, 0.3)
+    assert np.allclose(p, sums / total)
+
+
+# Language model -----------------------------------------------------------------------------------------
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    texts = [prose(i, 30) for i in range(20)]
+    grams, _ = language_model.events(texts)
+    levels = []
+    for k in range(language_model.ORDER + 1):
+        levels.append(np.unique(grams & ((1 << 9 * (k + 1)) - 1), return_counts=True))
+    trie = language_model.Trie(levels)
+    contexts = [int(grams[7]) >> 9, int(grams[100]) >> 9, 5 << 9 * 4 | int(grams[50]) >> 9 & (1 << 36) - 1, 0, 300]
+    for context in contexts:
+        scores = trie.score(np.array([context << 9 | s for s in range(257)]))
+        assert abs((10**scores).sum() - 1) < 1e-9
+
+
+def test_base_is_exact_and_all_rows_stay(spark):
+    frame = odd(spark)
+    learn = F.coalesce(F.col("doc_id"), F.lit(0)) != 5
+    found = language_model.score(frame, learn).collect()
+    assert len(found) == frame.count()
+    rows = [(r["doc_id"], re.findall(r"[^\x20\x09-\x0D]+", (r["text"] or "").replace("É", "É").translate(str.maketrans("ABC", "abc")))) for r in frame.collect()]
+    counts = {}
+    for doc_id, words in rows:
+        if doc_id != 5:
+            for w in [*words, "\n"]:
+                counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    expected = sorted((len(w) + 1, sum(counts.get(x, 0) > 0 for x in [*w, "\n"]), round(sum(np.log10((counts.get(x, 0) + 1) / (n + v + 1)) for x in [*w, "\n"]), 6)) for _, w in rows)
+    assert sorted((r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in found) == expected
+    assert {r["train_tokens"] for r in found} == {n} and all(r["score"] < 0 for r in found)
+    assert language_model.score(empty(spark), learn).count() == 0
+    untaught = language_model.score(documents(spark, ["abc"]), F.lit(False)).first()
+    assert untaught["train_tokens"] == 0 and abs(untaught["score"] + 4 * np.log10(257)) < 1e-9
+
+
+# PII, URLs, chat ----------------------------------------------------------------------------------------
+
+
+def test_base_spans_and_patterns(spark):
+    base = personal_data.base_spans("x a.b@c.de_f@g.hi 1.2.3.4 256.1.1.1, 4111 1111 1111 1111, +1 (234) 555-0000")
+    assert [k for _, _, k in base] == [0, 0, 1, 2, 3]
+    texts = [f"{prose(i, 4)} reach me: user{i}@mail.example.org bye {prose(i, 3)}" for i in range(12)]
+    texts += ["please reach me: someone9-at-mail bye now", "reach me: user77(at)x bye", None, "", "1" * 50_000, "+1" * 20_000]
+    found = {r["doc_id"]: r for r in personal_data.find(documents(spark, texts)).collect()}
+    assert all(found[i]["n_email"] == 1 and found[i]["spans"].startswith("email:") for i in range(12))
+    assert found[14]["spans"] == "" and found[14]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert personal_data.find(odd(spark)).count() == odd(spark).count() and personal_data.find(empty(spark)).count() == 0
+
+
+def test_rounds_find_unseen_instances(spark):
+    rows = [("p1", f"seed{i}", 2) for i in range(20)] + [("p1", "new", None), ("p2", "new", None), ("p2", "rare", None), ("p3", "alone", None)]
+    good = personal_data.good_patterns(spark.createDataFrame(rows, "pattern string, instance string, kind int")).collect()
+    assert [(r["pattern"], r["kind"]) for r in good] == [("p1", 2)] and good[0]["score"] > 0.95
+
+
+def test_rules_filter_and_list(spark):
+    urls = ["http://A.Example.com/en/x?y", "https://www.example.com/en/1", "ftp://b.net/es/", "http://example.com", None, "nothing", "http://x.org/listed.html#a", "http://www.X.org/listed/", "a://b://c/d", "http://x.org/other"]
+    pages = spark.createDataFrame([(i, u, "w") for i, u in enumerate(urls)], "page_id long, url string, word string")
+    listed = spark.createDataFrame([("x.org/listed",), (None,), ("",), ("x.org/listed",)], "key string")
+    found = {r["page_id"]: r for r in url_filter.judge(pages, listed, url_filter.RULES).collect()}
+    assert [found[i]["rule"] for i in range(4)] == ["example.com/en/", "www.example.com/en/", "net/es/", None]
+    assert [found[i]["verdict"] for i in range(10)] == ["block", "allow", "block", "allow", "allow", "allow", "block", "block", "allow", "allow"]
+    assert (found[4]["host"], found[5]["path"], found[8]["host"], found[8]["path"]) == ("", "", "b:", "//c/d")
+    assert all(found[i]["maybe_listed"] for i in (6, 7))
+    many = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
+    passed = url_filter.maybe_listed(many, url_filter.bloom_blocks(many.where("key like '%1'"), 256), 256)
+    assert passed.where("key like '%1' and not maybe").count() == 0 and passed.where("key not like '%1' and maybe").count() < 300
+
+
+def test_chat_round_trip(spark):
+    said = ["\\### Assistant: </turn> ok", "\\", "</turn", "####", "a\n### User: b</turn>", "", None, "é\U0001f600\\\\"]
+    rows = [(c, i, role, text, "x") for c, roles in enumerate([["user", "assistant"] * 4, ["assistant", "weird: ### role", "User", "=x", "system", "tool", None, "user"]]) for i, (role, text) in enumerate(zip(roles, said, strict=True))]
+    rows += [(2, None, "user", "b", "x"), (2, None, "user", "a", "x"), (None, 0, "user", "q", "x"), (3, 0, "user", "same", "x"), (3, 0, "user", "same", "x")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, texts string")
+    found = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(frame)).collect()}
+    for c in (0, 1):
+        turns = [(r or "", t or "") for k, _, r, t, _ in rows if k == c]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert found[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert found[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest() and found[c]["loss_chars"] == len(loss)
+    assert found[0]["valid"] and not found[1]["valid"] and not found[3]["valid"] and found[3]["n_turns"] == 2 and found[None]["n_turns"] == 1
+    assert chat_format.read_back(chat_format.format_turns(frame.limit(0))).count() == 0
