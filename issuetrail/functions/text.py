@@ -32,8 +32,13 @@ def is_filled(text: Column) -> Column:
     return text != ""
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def is_blank(text: Column) -> Column:
-    return F.coalesce(F.trim(text), F.lit("")) == ""
+    return F.coalesce(stripped(text), F.lit("")) == ""
 
 
 def number_or_zero(value: Column) -> Column:

@@ -1,4 +1,4 @@
-"""ISO-8601 text, instants and day counts. They assume a UTC session (see ``sources.session``)."""
+"""ISO-8601 text, instants and day counts. Texts are UTC whatever the session's time zone."""
 
 from __future__ import annotations
 
@@ -15,7 +15,10 @@ _CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 _FULL_DATE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 # Two readable forms the cast does not know: no dashes, and no seconds before a zone.
 _COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
-_NO_SECONDS = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=Z|[+-])"
+_NO_SECONDS = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=Z|[+-]|$)"
+# Without a zone a text is UTC, not the session's time.
+_DATE_ONLY = r"^(\d{4}-\d{2}-\d{2})$"
+_NO_ZONE = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)$"
 
 _MICROS_PER_DAY = 86_400_000_000
 
@@ -26,7 +29,14 @@ def parse_iso(text: Column) -> Column:
     The text occurs once in the expression, so that filters pushed through projections stay small.
     """
     dashed = F.regexp_replace(F.regexp_replace(text, _COMPACT_DATE, "$1-$2-$3"), _NO_SECONDS, "$1:00")
-    return F.try_to_timestamp(F.regexp_extract(dashed, _FULL_DATE, 0))
+    zoned = F.regexp_replace(F.regexp_replace(dashed, _DATE_ONLY, "$1T00:00:00Z"), _NO_ZONE, "$1Z")
+    return F.try_to_timestamp(F.regexp_extract(zoned, _FULL_DATE, 0))
+
+
+def utc_text(moment: Column) -> Column:
+    """The instant in UTC to the second, without the session's time zone."""
+    seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(moment))
+    return F.concat(F.translate((F.expr("timestamp_ntz'1970-01-01 00:00:00'") + seconds).cast("string"), " ", "T"), F.lit("Z"))
 
 
 def instant_of(normalized: Column) -> Column:
@@ -36,14 +46,14 @@ def instant_of(normalized: Column) -> Column:
 
 def is_present(text: Column) -> Column:
     """Whether a time text says anything at all, readable or not."""
-    return text.isNotNull() & ~text.isin("", MISSING)
+    return text.isNotNull() & ~F.regexp_replace(text, r"(?U)^\s+|\s+$", "").isin("", MISSING)
 
 
 def normalize_iso(text: Column) -> Column:
     """UTC text to the second; unreadable text comes back with its blanks edited; NULL when missing."""
     blank_as_t = F.translate(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), " ", "T")
     return F.when(text.rlike(_CANONICAL), text).when(
-        is_present(text), F.coalesce(F.date_format(parse_iso(blank_as_t), ISO_OUTPUT), blank_as_t)
+        is_present(text), F.coalesce(utc_text(parse_iso(blank_as_t)), blank_as_t)
     )
 
 
@@ -59,4 +69,4 @@ def whole_days(since: Column, until: Column) -> Column:
 
 
 def month_key(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM")
+    return F.substring(utc_text(moment), 1, 7)

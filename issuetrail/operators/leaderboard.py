@@ -30,14 +30,18 @@ def leaderboard(agents: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard_view(board: DataFrame, low: float = 0, high: float = 1000, term: str | None = None) -> DataFrame:
-    """Ranked display rows: non-zero agents, a count range with both ends, and an optional search term."""
+def leaderboard_view(board: DataFrame, low: float | None = None, high: float | None = None, term: str | None = None) -> DataFrame:
+    """Ranked display rows: non-zero agents, and optionally a count range with both ends and a search term."""
     shown = board.select(
         F.coalesce("name", F.lit(UNKNOWN_NAME)).alias("Agent Name"),
         F.coalesce("website", F.lit(NO_WEBSITE)).alias("Website"),
         number_or_zero(F.col("resolved_issues")).cast("bigint").alias("Resolved Issues"),
         F.col("github_identifier"),
-    ).where((F.col("Resolved Issues") != 0) & F.col("Resolved Issues").between(low, high))
+    ).where(F.col("Resolved Issues") != 0)
+    if low is not None:
+        shown = shown.where(F.col("Resolved Issues") >= low)
+    if high is not None:
+        shown = shown.where(F.col("Resolved Issues") <= high)
     if term:
         needle = term.lower()
         shown = shown.where(

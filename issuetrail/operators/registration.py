@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from issuetrail.functions.text import is_blank, is_filled
+from issuetrail.functions.text import is_blank, is_filled, stripped
 
 # Fixed value: the status of an agent that takes part.
 ACTIVE = "active"
@@ -68,7 +68,7 @@ def validate_submissions(submissions: DataFrame, registry: DataFrame, users: Dat
     """
     fields = ["identifier", "name", "organization", "website"]
     checked = submissions.select(
-        order_by, _field_problem().alias("problem"), *[F.trim(F.col(c)).alias(c) for c in fields]
+        order_by, _field_problem().alias("problem"), *[stripped(F.col(c)).alias(c) for c in fields]
     )
     complete = checked.where(F.col("problem").isNull())
     first = complete.groupBy("identifier").agg(F.min(order_by).alias("first_of_identifier"))

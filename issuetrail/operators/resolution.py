@@ -24,6 +24,12 @@ def agent_merges(facts: DataFrame, agents: DataFrame) -> DataFrame:
     )
 
 
+def candidate_links(links: DataFrame, issues: DataFrame, params: Params) -> DataFrame:
+    """Links of issues that the run can use: wanted, or closed in the window. The others needn't meet the merges."""
+    used = issues.where(is_wanted(params) | is_closed_in_window(params)).select(F.col("url").alias("issue_url"))
+    return links.join(used, "issue_url", "left_semi")
+
+
 def issue_resolution(links: DataFrame, merges: DataFrame) -> DataFrame:
     """One agent per issue: the earliest merge, then the smallest pull-request URL.
 

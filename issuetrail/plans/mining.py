@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from issuetrail.operators.pulls import (
     pull_state,
 )
 from issuetrail.operators.registration import active_agents, matching_agents
-from issuetrail.operators.resolution import agent_merges, issue_resolution, resolved_issues, wanted_issues
+from issuetrail.operators.resolution import agent_merges, candidate_links, issue_resolution, resolved_issues, wanted_issues
 from issuetrail.params import Params
 from issuetrail.sources.archive import scan_archive
 from issuetrail.sources.curated import read_curated, write_curated
@@ -37,8 +37,10 @@ class Mined:
     facts: DataFrame
     links: DataFrame
 
-    def resolution(self, agents: DataFrame) -> DataFrame:
-        return issue_resolution(self.links, agent_merges(self.facts, matching_agents(agents)))
+    def resolution(self, agents: DataFrame, params: Params | None = None) -> DataFrame:
+        """The agent of each linked issue; with ``params`` only of the issues that a run with these can use."""
+        links = candidate_links(self.links, self.issues, params) if params else self.links
+        return issue_resolution(links, agent_merges(self.facts, matching_agents(agents)))
 
 
 def mine_events(events: DataFrame, params: Params) -> Mined:
@@ -63,11 +65,11 @@ def results_of(mined: Mined, agents: DataFrame, params: Params, keep_in: str | N
     parts share them: the fact tables are shuffled once, and a lost executor costs no more than its last stage.
     """
     spark = agents.sparkSession
-    resolution = mined.resolution(agents)
-    issues = mined.issues
+    if keep_in:
+        mined = replace(mined, issues=_kept(mined.issues, f"{keep_in}/issues"))
+    issues, resolution = mined.issues, mined.resolution(agents, params)
     if keep_in:
         resolution = _kept(resolution, f"{keep_in}/resolution")
-        issues = _kept(issues, f"{keep_in}/issues")
     resolved = resolved_issues(issues, resolution, params)
     if keep_in:
         resolved = _kept(resolved, f"{keep_in}/resolved")
@@ -85,9 +87,12 @@ def _kept(df: DataFrame, folder: str) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, archive: str, registry: str, output: str, params: Params, issues_per_document: int = 100_000
+    spark: SparkSession, archive: str, registry: str, output: str, params: Params, document_shards: int = 1
 ) -> Results:
-    """Mines an archive for the registered agents and writes result tables and documents under ``output``."""
+    """Mines an archive for the registered agents and writes result tables and documents under ``output``.
+
+    ``document_shards``: how many documents share the result; see ``results.documents``.
+    """
     use_utc(spark)
     agents = active_agents(read_registry_files(spark, registry))
     if matching_agents(agents).isEmpty():
@@ -97,5 +102,5 @@ def run(
     mined = mine_curated(spark, f"{output}/curated", params.start.date(), params.end.date())
     results = results_of(mined, agents, params, keep_in=f"{output}/kept")
     write_results(results, f"{output}/results")
-    write_documents(results, f"{output}/documents", issues_per_document)
+    write_documents(results, f"{output}/documents", document_shards)
     return results

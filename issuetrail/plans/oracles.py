@@ -235,7 +235,7 @@ ORACLES: dict[str, str] = {
     "leaderboard": _LEADERBOARD,
     "leaderboard_view": f"""{_PIPELINE}, {_BOARD}
         SELECT name AS "Agent Name", website AS "Website", resolved_issues AS "Resolved Issues" FROM board
-        WHERE resolved_issues <> 0 AND resolved_issues BETWEEN 0 AND 1000
+        WHERE resolved_issues <> 0
         ORDER BY resolved_issues DESC, github_identifier""",
     "leaderboard_search": f"""{_PIPELINE}, {_BOARD}
         SELECT name AS "Agent Name", website AS "Website", resolved_issues AS "Resolved Issues" FROM board
@@ -268,6 +268,7 @@ ORACLES: dict[str, str] = {
         SELECT submission_id, identifier, name, organization, website, reason, status FROM validated""",
     "registry_append": f"""{_VALIDATED}
         SELECT name, organization, github_identifier, website, status FROM agent
+        WHERE github_identifier NOT IN (SELECT identifier FROM validated WHERE status = 'accepted')
         UNION ALL SELECT name, organization, identifier, website, 'active' FROM validated WHERE status = 'accepted'""",
     "batch_stats": f"""{_with(_ISSUE_EVENT, _PULL_EVENT)},
         seen AS (
@@ -295,7 +296,7 @@ ORACLES: dict[str, str] = {
         WHERE day NOT IN (SELECT CAST(ts AS DATE) FROM events)""",
     "coverage_missing_hours": f"""{_with(_HOURS)}
         SELECT CAST(day AS VARCHAR) AS archive_date, CAST(h AS INTEGER) AS archive_hour, day || '-' || h AS stamp FROM hour_grid
-        WHERE (day, h) NOT IN (SELECT (CAST(ts AS DATE), hour(ts)) FROM events WHERE event_type = 'error')""",
+        WHERE (day, h) NOT IN (SELECT (CAST(ts AS DATE), hour(ts)) FROM events)""",
     "event_props": """
         SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.missing') AS missing,
                coalesce(json_extract_string(props, '$.missing'), json_extract_string(props, '$.k'), '') AS k_or_missing

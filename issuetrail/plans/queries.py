@@ -42,14 +42,14 @@ def _resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _resolved(spark: SparkSession, sf_dir: str, params=PARAMS) -> DataFrame:
     mined = _mined(spark, sf_dir, params)
-    return resolution.resolved_issues(mined.issues, mined.resolution(_agents(spark, sf_dir)), params)
+    return resolution.resolved_issues(mined.issues, mined.resolution(_agents(spark, sf_dir), params), params)
 
 
 def _wanted(spark: SparkSession, sf_dir: str, params=PARAMS) -> DataFrame:
     if not params.require_agent_pr_on_open:
         return resolution.wanted_issues(issues.latest_issues(_events(spark, sf_dir), params), None, params)
     mined = _mined(spark, sf_dir, params)
-    return resolution.wanted_issues(mined.issues, mined.resolution(_agents(spark, sf_dir)), params)
+    return resolution.wanted_issues(mined.issues, mined.resolution(_agents(spark, sf_dir), params), params)
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +175,7 @@ def windowed_leaderboard(spark, sf_dir):
     seen = audit.within_window(_events(spark, sf_dir), PARAMS)
     mined = mine_events(seen, PARAMS)
     agents = _agents(spark, sf_dir)
-    found = resolution.resolved_issues(mined.issues, mined.resolution(agents), PARAMS)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
     return leaderboard.leaderboard(agents, found)
 
 
@@ -264,7 +264,7 @@ def batch_stats(spark, sf_dir):
 
 def run_summary(spark, sf_dir):
     mined = _mined(spark, sf_dir)
-    summary = audit.run_summary(mined.issues, mined.resolution(_agents(spark, sf_dir)), PARAMS)
+    summary = audit.run_summary(mined.issues, mined.resolution(_agents(spark, sf_dir), PARAMS), PARAMS)
     echoed = summary.select("*", *audit.parameter_columns(PARAMS))
     lists = ("tracked_orgs", "patch_wanted_labels")
     return echoed.withColumns({c: F.array_join(c, ",") for c in lists})
@@ -279,10 +279,8 @@ def _stamped(spark, sf_dir):
     stamp = F.concat(
         F.date_format("ts", "yyyy-MM-dd"), F.lit("-"), F.hour("ts").cast("string"), F.lit(".json.gz")
     )
-    files = table(spark, sf_dir, "events").select("event_type", F.concat(F.lit("/archive/"), stamp).alias("path"))
-    return files.select(
-        "event_type", archive_date(F.col("path")).alias("archive_date"), archive_hour(F.col("path")).alias("archive_hour")
-    )
+    files = table(spark, sf_dir, "events").select(F.concat(F.lit("/archive/"), stamp).alias("path"))
+    return files.select(archive_date(F.col("path")).alias("archive_date"), archive_hour(F.col("path")).alias("archive_hour"))
 
 
 def coverage_gaps(spark, sf_dir):
@@ -291,9 +289,8 @@ def coverage_gaps(spark, sf_dir):
 
 
 def coverage_missing_hours(spark, sf_dir):
-    """Hours without any error event."""
-    errors = _stamped(spark, sf_dir).where(F.col("event_type") == "error")
-    gaps = audit.missing_hours(spark, errors, *COVERAGE)
+    """Hours of the range without any event."""
+    gaps = audit.missing_hours(spark, _stamped(spark, sf_dir), *COVERAGE)
     return gaps.select(F.col("archive_date").cast("string").alias("archive_date"), "archive_hour", "stamp")
 
 
@@ -386,7 +383,7 @@ def curated_leaderboard(spark, sf_dir):
     curated.write_curated(scanned, PARAMS, f"{folder}/curated")
     mined = mine_curated(spark, f"{folder}/curated")
     agents = _agents(spark, sf_dir)
-    found = resolution.resolved_issues(mined.issues, mined.resolution(agents), PARAMS)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
     return leaderboard.leaderboard(agents, found)
 
 
@@ -394,7 +391,7 @@ def document_roundtrip(spark, sf_dir):
     """All parts of the result written as documents and read back, one row per entry."""
     folder = new_folder(spark, "documents")
     kept = results_of(_mined(spark, sf_dir), _agents(spark, sf_dir), PARAMS, keep_in=f"{folder}/kept")
-    results.write_documents(kept, f"{folder}/documents", issues_per_document=1000)
+    results.write_documents(kept, f"{folder}/documents", shards=4)
     return _part_rows(results.read_documents(spark, f"{folder}/documents"))
 
 
@@ -432,7 +429,7 @@ def incremental_leaderboard(spark, sf_dir):
     )
     mined = incremental.read_state(spark, folder)
     agents = _agents(spark, sf_dir)
-    found = resolution.resolved_issues(mined.issues, mined.resolution(agents), PARAMS)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
     return leaderboard.leaderboard(agents, found)
 
 

@@ -17,7 +17,9 @@ def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
     active. Hidden folders are skipped by the reader.
     """
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-    entry = F.when(F.col("value").rlike(r"^\s*\{"), F.from_json("value", AGENT)).alias("entry")
+    # as the only element of an array, a text with more than one value or with trailing text does not parse or counts as several
+    single = F.size(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")) == 1
+    entry = F.when(F.col("value").rlike(r"^\s*\{") & single, F.from_json("value", AGENT)).alias("entry")
     return files.select(
         entry,
         identifier_from_file(F.col("_metadata.file_name")).alias("github_identifier"),
@@ -26,9 +28,13 @@ def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_registry_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(REGISTRY).parquet(folder)
+    """One row per identifier: what was added last. Rows written without a time count as the oldest."""
+    rows = spark.read.schema(f"{REGISTRY}, added_at timestamp").parquet(folder)
+    fields = [c for c in rows.columns if c not in ("github_identifier", "added_at")]
+    latest = rows.groupBy("github_identifier").agg(F.max(F.struct("added_at", *fields)).alias("entry"))
+    return latest.select(*[F.col(c if c == "github_identifier" else f"entry.{c}").alias(c) for c in rows.columns if c != "added_at"])
 
 
 def append_to_registry(validated: DataFrame, folder: str) -> None:
-    """Adds the accepted submissions to the registry table."""
-    accepted_agents(validated).write.mode("append").parquet(folder)
+    """Adds the accepted submissions to the registry table; they take the place of older rows of their identifiers."""
+    accepted_agents(validated).withColumn("added_at", F.current_timestamp()).write.mode("append").parquet(folder)

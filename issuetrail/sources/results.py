@@ -60,18 +60,22 @@ def _shard(key: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(shards)).cast("bigint").alias("shard")
 
 
-def documents(results: Results, shards: int = 1) -> DataFrame:
-    """``shards`` rows, each one JSON document. Choose shards so that a slice of every part fits into a row."""
+def documents(results: Results, shards: int) -> DataFrame:
+    """``shards`` rows, each one JSON document with a slice of every part. Choose shards so that a slice fits into a row.
+
+    Entries without an identifier or agent name are left out: these are the keys of their parts.
+    """
     spark = results.leaderboard.sparkSession
     entry = F.struct("name", "website", "github_identifier", "resolved_issues")
     board = (
-        results.leaderboard.groupBy(_shard(F.col("github_identifier"), shards))
+        results.leaderboard.where(F.col("github_identifier").isNotNull())
+        .groupBy(_shard(F.col("github_identifier"), shards))
         .agg(F.sort_array(F.collect_list(F.struct("github_identifier", entry.alias("entry")))).alias("entries"))
         .select("shard", F.map_from_entries("entries").alias("leaderboard"))
     )
     # One row per agent first, then one per shard: an agent's list is as long as the window has months.
     cells = F.array_sort(F.collect_list(F.struct("month", "resolved")))
-    per_agent = results.monthly.groupBy("agent_name").agg(cells.alias("cells"))
+    per_agent = results.monthly.where(F.col("agent_name").isNotNull()).groupBy("agent_name").agg(cells.alias("cells"))
     series = F.struct(F.col("cells.resolved").alias("monthly_resolved"))
     monthly = (
         per_agent.groupBy(_shard(F.col("agent_name"), shards))
@@ -113,10 +117,8 @@ def documents(results: Results, shards: int = 1) -> DataFrame:
     return whole.select("shard", F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
 
 
-def write_documents(results: Results, folder: str, issues_per_document: int = 100_000) -> None:
-    """Writes as many documents as the longest part asks for, one JSON object per line."""
-    longest = max(results.wanted.count(), results.leaderboard.count())
-    shards = max(1, -(-longest // issues_per_document))
+def write_documents(results: Results, folder: str, shards: int) -> None:
+    """Writes ``shards`` documents, one JSON object per line."""
     documents(results, shards).select("document").write.mode("overwrite").text(folder)
 
 

@@ -1,0 +1,68 @@
+"""Cases that once gave a wrong answer."""
+
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from issuetrail.functions.text import is_blank, stripped
+from issuetrail.functions.timestamps import instant_of, month_key, normalize_iso
+from issuetrail.operators import leaderboard
+from issuetrail.operators.resolution import candidate_links
+from issuetrail.params import Params
+from issuetrail.sources import registry
+from issuetrail.sources.archive import archive_files
+
+PARAMS = Params(as_of=datetime(2024, 7, 1, tzinfo=timezone.utc))
+
+
+def test_view_keeps_counts_of_any_size(spark):
+    board = spark.createDataFrame([("a", "w", "a", 1001), ("b", "w", "b", 3)], "name string, website string, github_identifier string, resolved_issues bigint")
+    assert [r["Resolved Issues"] for r in leaderboard.leaderboard_view(board).collect()] == [1001, 3]
+    assert [r["Resolved Issues"] for r in leaderboard.leaderboard_view(board, high=1000).collect()] == [3]
+
+
+@pytest.mark.parametrize("text, active", [('{"status": "active"}\n', True), ('{"status": "active"} oops', False), ('{"status": "active"}, {"status": "active"}', False), ('{"status": "active"}\n{"status": "active"}', False), ('{"status": "act', False)])
+def test_registry_file_is_one_object(spark, tmp_path, text, active):
+    (tmp_path / "x.json").write_text(text)
+    row = registry.read_registry_files(spark, str(tmp_path)).first()
+    assert (row["status"] == "active") is active and row["github_identifier"] == "x"
+
+
+def test_white_space_of_any_kind_is_blank(spark):
+    row = spark.range(1).select(is_blank(F.lit("\t\n")).alias("blank"), stripped(F.lit("b\n")).alias("text")).first()
+    assert (row["blank"], row["text"]) == (True, "b")
+
+
+def test_registered_again_takes_the_older_place(spark, tmp_path):
+    folder = str(tmp_path / "registry")
+    spark.createDataFrame([("old", "o", "a", "w", "inactive"), ("x", "o", "b", "w", "active")], "name string, organization string, github_identifier string, website string, status string").write.parquet(folder)
+    registry.append_to_registry(spark.createDataFrame([("a", "new", "o", "w", "accepted")], "identifier string, name string, organization string, website string, status string"), folder)
+    rows = {r["github_identifier"]: (r["name"], r["status"]) for r in registry.read_registry_table(spark, folder).collect()}
+    assert rows == {"a": ("new", "active"), "b": ("x", "active")}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    texts = ["2024-01-01 01:02:03+00", "2024-03-10 02:30:00", "2024-02-01", "20240201", "2024-01-31T23:30Z", "  ", "2024-11-03T05:30"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").select(normalize_iso(F.col("t")).alias("n")).withColumn("m", month_key(instant_of(F.col("n")))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r["n"] for r in rows] == ["2024-01-01T01:02:03Z", "2024-03-10T02:30:00Z", "2024-02-01T00:00:00Z", "2024-02-01T00:00:00Z", "2024-01-31T23:30:00Z", None, "2024-11-03T05:30:00Z"]
+    assert [r["m"] for r in rows] == ["2024-01", "2024-03", "2024-02", "2024-02", "2024-01", None, "2024-11"]
+
+
+def test_links_of_other_issues_are_cut(spark):
+    columns = "url string, state string, created_at string, closed_at string, labels array<string>"
+    found = spark.createDataFrame([("u1", "open", "2024-01-01T00:00:00Z", None, ["bug"]), ("u2", "open", "2024-01-01T00:00:00Z", None, ["question"])], columns)
+    links = spark.createDataFrame([("u1", "p"), ("u2", "p"), ("u3", "p")], "issue_url string, pr_url string")
+    assert [r["issue_url"] for r in candidate_links(links, found, PARAMS).collect()] == ["u1"]
+
+
+def test_paths_with_a_percent_sign(spark, tmp_path):
+    (tmp_path / "a 100%zz").mkdir()
+    (tmp_path / "a 100%zz" / "2024-01-01-0.json.gz").write_bytes(b"x")
+    assert archive_files(spark, str(tmp_path)).count() == 1
