@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import table
+from issuetrail.llm.common import checkpointed, table
 
 #: Shares of the mixture; sources that are not named share what is left in proportion to their rows.
 TARGETS = {"src0": 0.15, "src1": 0.10, "src2": 0.10}
@@ -45,18 +45,22 @@ def poisson_steps(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), begin, add, lambda state: state["steps"])
 
 
-def replicate(documents: DataFrame, targets: dict[str, float], seed: str = SEED) -> DataFrame:
+def replicate(documents: DataFrame, targets: dict[str, float], seed: str = SEED, most_sent: int = 16 << 20) -> DataFrame:
     """Each row as often as a Poisson draw says (not at all, once, or more), with its copy's number from 1, in an order shuffled globally.
 
     The mean of the draw is the source's target share over its actual one. The draw inverts the distribution at a number hashed from seed and
     doc_id, so runs and retries agree, and the same id (also null, or of repeated rows) draws the same. A null source is a source of its own,
     like any that is not named; an empty table gives no rows; other columns are kept, a column `copy` is replaced. Rates over 600 are
-    refused: their distribution starts below what a double can hold, and no mixture repeats a text so often.
+    refused: their distribution starts below what a double can hold, and no mixture repeats a text so often. The steps of all sources are sent to every task while they have at most
+    `most_sent` bytes; beyond, they meet the documents by shuffle.
     """
     prefix = "_mix_"
-    drawn = rates(documents, targets)
-    # one row a source: its steps
-    steps = drawn.select(F.col("source").alias(f"{prefix}source"), F.when(F.col("rate") <= 600, poisson_steps(F.col("rate"))).otherwise(F.raise_error(F.lit("a source would be repeated over 600 times"))).alias(f"{prefix}steps"))
+    drawn = checkpointed(rates(documents, targets))
+    steps = F.when(F.col("rate") <= 600, poisson_steps(F.col("rate"))).otherwise(F.raise_error(F.lit("a source would be repeated over 600 times")))
+    steps = drawn.select(F.col("source").alias(f"{prefix}source"), steps.alias(f"{prefix}steps"))
+    # a row is a name and at most a thousand steps; beyond so many sources the join shuffles
+    if drawn.agg(F.coalesce(F.sum(F.octet_length("source") + 8 * F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30)), F.lit(0))).first()[0] <= most_sent:
+        steps = F.broadcast(steps)
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     u = uniform(F.lit(seed), id_text)
     met = documents.withColumn(f"{prefix}u", u).join(steps, F.col("source").eqNullSafe(F.col(f"{prefix}source")))

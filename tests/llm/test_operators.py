@@ -172,7 +172,7 @@ def test_mixture_has_the_target_shares(spark):
     counts = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
     assert abs(counts["b"] / 6000 - 0.5) < 0.04 and abs(sum(counts.values()) / 6000 - 1) < 0.06
     again = mixing.replicate(frame, {"b": 0.5}).collect()
-    assert again == mixed.collect()
+    assert again == mixed.collect() == mixing.replicate(frame, {"b": 0.5}, most_sent=0).collect()
     assert mixing.replicate(odd(spark), {"s0": 0.9}).columns == [*DOCS.replace(" long", "").replace(" string", "").replace(" int", "").split(", "), "copy"]
     assert mixing.replicate(empty(spark), {"s0": 0.9}).count() == 0
 
