@@ -54,9 +54,9 @@ class Reader:
 
     def _until(self, mark: str, start: int) -> int:
         """Where the mark stands unescaped, at `start` or later; -1 if not yet."""
-        for m in re.compile(r"\\.|" + re.escape(mark), re.DOTALL).finditer(self.held, start):
+        for m in re.finditer(r"\\.|" + re.escape(mark), self.held[start:], re.DOTALL):
             if m[0] == mark:
-                return m.start()
+                return start + m.start()
         return -1
 
     def feed(self, piece: str) -> Iterator[tuple[str, str]]:
@@ -100,18 +100,23 @@ def format_turns(conversations: DataFrame, template: Template | None = None) ->
     """
     template = template or Template()
 
+    columns = ["conv_id", "at", "role", "follows", "texts", "losses"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state, at = None, 0
+        state, at, made, size = None, 0, [], 0
         for begins, rows in _conversations(batches):
             if begins:
                 state, at = None, 0
-            made = []
             for conv_id, role, text in rows:
                 follows = role in template.after.get(state, ())
                 segments = template.segments(role, text)
                 made.append((conv_id, at, role, follows, [s for s, _ in segments], [loss for _, loss in segments]))
-                state, at = role, at + 1
-            yield pd.DataFrame(made, columns=["conv_id", "at", "role", "follows", "texts", "losses"]).astype({"conv_id": "Int64"})
+                state, at, size = role, at + 1, size + len(text)
+                if len(made) >= 2000 or size > 4_000_000:
+                    yield pd.DataFrame(made, columns=columns).astype({"conv_id": "Int64"})
+                    made, size = [], 0
+        if made:
+            yield pd.DataFrame(made, columns=columns).astype({"conv_id": "Int64"})
 
     empty = F.lit("")
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
@@ -128,11 +133,14 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
     template = template or Template()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = None
+        found, out = None, []
         for begins, rows in _conversations(batches):
             if begins:
                 if found:
-                    yield done(found)
+                    out.append(done(found))
+                if len(out) >= 1000:
+                    yield framed(out)
+                    out = []
                 found = {"conv_id": rows[0][0], "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "all": 0, "state": None, "valid": True, "reader": Reader(template)}
             for _, texts, losses in rows:
                 for text, loss in zip(texts, losses, strict=True):
@@ -147,14 +155,16 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
                     found["valid"] &= role in template.after.get(found["state"], ())
                     found["state"] = role
         if found:
-            yield done(found)
+            yield framed([*out, done(found)])
+
+    def framed(rows: list[tuple]) -> pd.DataFrame:
+        columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
+        return pd.DataFrame(rows, columns=columns).astype({"conv_id": "Int64"})
 
-    def done(x: dict) -> pd.DataFrame:
+    def done(x: dict) -> tuple:
         if x["reader"].held:
             raise ValueError("the formatted text ends within a turn")
-        row = (x["conv_id"], x["n"], x["turns"].hexdigest(), x["chars"], x["loss"].hexdigest(), x["all"], x["valid"] and x["state"] in template.last)
-        columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
-        return pd.DataFrame([row], columns=columns).astype({"conv_id": "Int64"})
+        return (x["conv_id"], x["n"], x["turns"].hexdigest(), x["chars"], x["loss"].hexdigest(), x["all"], x["valid"] and x["state"] in template.last)
 
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     return formatted.select("conv_id", "texts", "losses").mapInPandas(run, schema)
