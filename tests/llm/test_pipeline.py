@@ -1,0 +1,113 @@
+"""Each stage of the pipeline against brute force on its own input, at the smallest scale."""
+
+import hashlib
+import math
+import re
+import string
+
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+
+SF = "/root/testdata/sf0.001"
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The rows before the first stage and after each."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, found = docs.columns, [docs.collect()]
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = corpus_pipeline.folder(spark)
+        stage(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.columns == columns or number == 4
+        found.append(docs.collect())
+    return found
+
+
+def test_toxic_documents_go(spark, stages):
+    by_id = {r["doc_id"]: r for r in stages[0]}
+    assert all(r == by_id[r["doc_id"]] for r in stages[1])
+    # the smallest scale has seven toxic documents to learn from, which is too few to reject any; the next has 33
+    larger = SF.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{larger}/labels.parquet").collect()
+    toxic, clean = ({r["doc_id"] for r in labels if r["toxic"] == label} for label in (1, 0))
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.reject_toxic(spark, docs, larger).collect()}
+    assert len(clean - kept) <= 0.02 * len(clean) and len(toxic & kept) <= 0.4 * len(toxic)
+
+
+def test_repeated_lines_go(stages):
+    seen, expected = set(), {}
+    for r in sorted(stages[1], key=lambda r: r["doc_id"]):
+        lines, gone = r["text"].split("\n"), set()
+        for i in range(len(lines) - 1):
+            chunk = lines[i] + "\n" + lines[i + 1]
+            if len(chunk) >= 40:
+                gone |= {i, i + 1} if chunk in seen else set()
+                seen.add(chunk)
+        expected[r["doc_id"]] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    assert {r["doc_id"]: r["text"] for r in stages[2]} == expected
+    assert all(r["n_chars"] == len(r["text"]) for r in stages[2])
+
+
+def simhash(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    if not shingles:
+        return 0
+    hashes = np.array([xxhash.xxh64_intdigest(s, seed=42) for s in shingles], np.uint64)
+    return sum(1 << bit for bit in range(64) if 2 * int(((hashes >> np.uint64(bit)) & np.uint64(1)).sum()) > len(hashes))
+
+
+def test_one_of_each_group_stays(stages):
+    prints = {r["doc_id"]: simhash(r["text"]) for r in stages[2]}
+    ids = sorted(prints)
+    root = {i: i for i in ids}
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if root[a] != root[b] and (prints[a] ^ prints[b]).bit_count() <= 3:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    assert sorted(r["doc_id"] for r in stages[3]) == sorted(set(root.values()))
+
+
+def test_benchmark_passages_go(spark, stages):
+    fold = lambda t: re.sub(r"[\t-\r]", " ", t).translate(LOWER)
+    items = [fold(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    holding = {r["doc_id"] for r in stages[3] if any(i in fold(r["text"]) for i in items)}
+    assert {r["doc_id"] for r in stages[4]} == {r["doc_id"] for r in stages[3]} - holding
+
+
+def test_mixture_is_drawn_by_source(stages):
+    sizes = {}
+    for r in stages[4]:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + 1
+    targets = corpus_pipeline.mixing.TARGETS
+    every, other = len(stages[4]), sum(n for s, n in sizes.items() if s not in targets)
+    expected = {}
+    for r in stages[4]:
+        rate = targets[r["source"]] * every / sizes[r["source"]] if r["source"] in targets else (1 - sum(targets.values())) * every / other
+        u = (int(hashlib.md5(f"mix-1|{r['doc_id']}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+        k, p = 0, math.exp(-rate)
+        total = p
+        while total < u:
+            k += 1
+            p *= rate / k
+            total += p
+        if k:
+            expected[r["doc_id"]] = k
+    found = {}
+    for r in stages[5]:
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + 1
+    assert found == expected
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    found = corpus_pipeline.run(spark, SF)
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "copy"]
+    assert sorted(found.collect()) == sorted(r for r in stages[5])
