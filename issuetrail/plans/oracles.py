@@ -266,6 +266,7 @@ ORACLES: dict[str, str] = {
     "agent_identifiers": "SELECT c_custkey, 'agent ' || c_custkey || '+[bot]' AS github_identifier FROM customer",
     "submission_validation": f"""{_VALIDATED}
         SELECT submission_id, identifier, name, organization, website, reason, status FROM validated""",
+    "registry_scan": f"{_with(_AGENT)} SELECT name, organization, website, status FROM agent",
     "registry_append": f"""{_VALIDATED}
         SELECT name, organization, github_identifier, website, status FROM agent
         WHERE github_identifier NOT IN (SELECT identifier FROM validated WHERE status = 'accepted')

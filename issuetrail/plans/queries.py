@@ -255,6 +255,14 @@ def registry_append(spark, sf_dir):
     return registry.read_registry_table(spark, folder)
 
 
+def registry_scan(spark, sf_dir):
+    """The registry written as one JSON file per agent and read back; identifiers, which are file names, aside."""
+    folder = new_folder(spark, "registry-files")
+    columns = ["name", "organization", "website", "status"]
+    testdata.registry(spark, sf_dir).select(*columns).write.option("maxRecordsPerFile", 1).json(folder)
+    return registry.read_registry_files(spark, folder).select(*columns)
+
+
 # Audit --------------------------------------------------------------------------------------------------
 
 
@@ -465,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "agent_identifiers": agent_identifiers,
     "submission_validation": submission_validation,
     "registry_append": registry_append,
+    "registry_scan": registry_scan,
     "batch_stats": batch_stats,
     "run_summary": run_summary,
     "coverage_gaps": coverage_gaps,

@@ -13,7 +13,7 @@ from issuetrail.sources.session import new_folder
 from issuetrail.sources.testdata import PARAMS
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"registry_append", "scan_roundtrip", "curated_leaderboard", "document_roundtrip", "results_roundtrip", "incremental_leaderboard"}
+WRITING = {"registry_append", "registry_scan", "scan_roundtrip", "curated_leaderboard", "document_roundtrip", "results_roundtrip", "incremental_leaderboard"}
 
 
 def plan(df, mode="formatted"):
