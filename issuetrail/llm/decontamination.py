@@ -7,7 +7,7 @@ item's size that are near the item meet it under some key with the target recall
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from issuetrail.llm.common import MOST, pieces, table
 
-#: Bytes of a seed. An item of n bytes with k edits keeps n - SEED + 1 - k * SEED seeds: one at least for edits up to a twentieth of it.
-SEED = 16
+#: Bytes of a seed at most, and the size from which items may be met with edits.
+SEED, LONG = 16, 32
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BITS = 22
 #: A-Z in lower case, white space as one kind of character.
@@ -31,9 +31,14 @@ def folded(text: str) -> np.ndarray:
     return _FOLD[np.frombuffer(text.encode(), np.uint8)]
 
 
-def seeds(data: np.ndarray) -> np.ndarray:
-    """A hash of the SEED bytes at each place."""
-    n = len(data) - SEED + 1
+def seed_size(sizes: Iterable[int], share: float) -> int:
+    """Bytes of a seed, so that every item keeps one: k edits cut its n bytes into k + 1 runs, of which one has a (k + 1)th of the other n - k bytes."""
+    return min([SEED, *(max(1, -(-(n - int(share * n)) // (int(share * n) + 1))) for n in sizes)])
+
+
+def seeds(data: np.ndarray, size: int = SEED) -> np.ndarray:
+    """A hash of the `size` bytes, at most SEED, at each place."""
+    n = len(data) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     padded = np.zeros(-(-len(data) // 8) * 8 + 16, np.uint8)
@@ -42,7 +47,11 @@ def seeds(data: np.ndarray) -> np.ndarray:
     for k in range(8):
         part = padded[k : k + (len(eight) - k + 7) // 8 * 8].view("<u8")
         eight[k::8] = part
-    mixed = (eight[:n] * _A) ^ ((eight[8 : 8 + n] * _B) >> np.uint64(3))
+    # the first eight and the last eight, which overlap in a smaller seed
+    first, last = eight[:n], eight[max(0, size - 8) : max(0, size - 8) + n]
+    if size < 8:
+        first = last = first & np.uint64((1 << 8 * size) - 1)
+    mixed = (first * _A) ^ ((last * _B) >> np.uint64(3))
     mixed ^= mixed >> np.uint64(31)
     return mixed * _B
 
@@ -107,8 +116,9 @@ class Block:
         self.texts = [folded(t) for _, t in items]
         self.share = share
         self.sizes = np.array([len(t) for t in self.texts])
-        self.short = [k for k, t in enumerate(self.texts) if len(t) < 2 * SEED]
-        found = [(s, k, at) for k, t in enumerate(self.texts) if len(t) >= 2 * SEED for at, s in enumerate(seeds(t).tolist())]
+        self.short = [k for k, t in enumerate(self.texts) if len(t) < LONG]
+        self.seed = seed_size([len(t) for t in self.texts if len(t) >= LONG], share)
+        found = [(s, k, at) for k, t in enumerate(self.texts) if len(t) >= LONG for at, s in enumerate(seeds(t, self.seed).tolist())]
         found.sort()
         self.seeds = np.array([f[0] for f in found], np.uint64)
         self.item = np.array([f[1] for f in found], np.int64)
@@ -122,7 +132,7 @@ class Block:
         self.walks = coins.integers(0, 2, (repeats, 4096, 256), dtype=np.int64).astype(np.int8)
         self.samples = np.sort(coins.random((repeats, bits)) * 0.9, axis=1)
         self.table: dict[int, list[int]] = {}
-        long = [k for k in range(len(self.texts)) if len(self.texts[k]) >= 2 * SEED]
+        long = [k for k in range(len(self.texts)) if len(self.texts[k]) >= LONG]
         if long:
             for k, row in zip(long, self.keys([self.texts[k] for k in long]).tolist(), strict=True):
                 for key in row:
@@ -148,7 +158,7 @@ class Block:
                         found[doc].add(self.ids[k])
         if not len(self.seeds):
             return found
-        codes = seeds(data)
+        codes = seeds(data, self.seed)
         places = np.flatnonzero(self.marks[(codes >> np.uint64(64 - _BITS)).astype(np.int64)])
         codes = codes[places]
         low, high = np.searchsorted(self.seeds, codes, "left"), np.searchsorted(self.seeds, codes, "right")

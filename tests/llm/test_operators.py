@@ -212,6 +212,30 @@ def test_passages_with_edits_are_found(spark):
     assert {r["doc_id"]: r["benchmark_items"] for r in split.collect()} == found
 
 
+@pytest.mark.parametrize("size, share", [(32, 0.05), (40, 0.05), (47, 0.05), (63, 0.05), (100, 0.05), (300, 0.05), (40, 0.2)])
+def test_every_item_keeps_a_seed(size, share):
+    """Substitutions at the worst places: evenly spaced."""
+    pick = random.Random(size)
+    item = "".join(pick.choice("abcdefghijklmnop") for _ in range(size))
+    edits = int(share * size)
+    edited = list(item)
+    for k in range(1, edits + 1):
+        edited[k * (size - edits) // (edits + 1) + k - 1] = "#"
+    length = decontamination.seed_size([size], share)
+    codes = [set(decontamination.seeds(decontamination.folded(t), length).tolist()) for t in (item, "".join(edited))]
+    assert codes[0] & codes[1]
+    assert decontamination.holds(item.encode(), "".join(edited).encode(), edits)
+
+
+def test_short_items_with_edits_are_found(spark):
+    pick = random.Random(4)
+    items = ["".join(pick.choice("abcdefghijklmnop ") for _ in range(47)) for _ in range(30)]
+    texts = [f"{prose(i, 30)} {t[:15]}#{t[16:31]}#{t[32:]} {prose(i + 50, 30)}" for i, t in enumerate(items)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontamination.contaminated(documents(spark, texts), benchmark).collect()
+    assert sum(r["doc_id"] in r["benchmark_items"] for r in found) >= 29
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_holds_is_the_edit_distance_to_a_substring(seed):
     pick = random.Random(seed)
