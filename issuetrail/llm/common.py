@@ -53,6 +53,17 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """The same rows, as a table in the shared folder.
+
+    For the small side of a join whose other side may have a hot key: Spark splits that key only if both sides come straight from a shuffle, not if an
+    aggregation, or a checkpoint of one, has placed the rows already.
+    """
+    path = folder(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def pieces(batches, size: int = 2_000_000):
     """Batches (pandas) cut into runs of rows whose texts have about `size` characters together; a longer text is a piece of its own."""
     for batch in batches:

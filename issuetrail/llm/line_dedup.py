@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import MOST, checkpointed, table
+from issuetrail.llm.common import MOST, table, written
 
 
 def _chunks(lines: Column, divisor: int) -> Column:
@@ -37,13 +37,13 @@ def repeated_lines(rows: DataFrame, divisor: int, least_chars: int) -> DataFrame
     chunks = placed.withColumn("chunk", chunk).where(F.char_length("chunk") >= least_chars)
     chunks = chunks.select("node", "version", "c.at", "c.size", F.xxhash64("chunk").alias("hash"))
     counted = chunks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = counted.where("first <> last").select("hash", "first")
-    met = checkpointed(chunks.join(again, "hash").select("hash", "node", "version", "at", "size", (place == F.col("first")).alias("is_first")))
+    again = written(counted.where("first <> last").select("hash", "first"))
+    met = written(chunks.join(again, "hash").select("hash", "node", "version", "at", "size", (place == F.col("first")).alias("is_first")))
     # as many chunks as the text has lines, at most
     places = met.groupBy("node", "version").agg(F.collect_set(F.struct("hash", "at", "size")).alias("places"))
     texts = rows.join(places, ["node", "version"]).select(F.split("text", "\n").alias("lines"), F.explode("places").alias("c"))
     compared = texts.select("c.hash", chunk.alias("chunk")).groupBy("hash").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
-    same = compared.where(F.col("least") == F.col("most")).select("hash")
+    same = written(compared.where(F.col("least") == F.col("most")).select("hash"))
     gone = met.where(~F.col("is_first")).join(same, "hash")
     lines = gone.select("node", "version", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("line"))
     return lines.groupBy("node", "version").agg(F.collect_set("line").alias("gone"))
