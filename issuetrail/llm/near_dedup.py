@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import MOST, ascii_lower, checkpointed, table
+from issuetrail.llm.common import MOST, ascii_lower, checkpointed, table, written
 from issuetrail.llm.components import components
 from issuetrail.llm.fingerprints import hex_words, shingled, votes
 
@@ -170,8 +170,8 @@ def print_links(prints: DataFrame, radius: int = 3, block_rows: int = 2048) -> D
     edges = None
     while True:
         rows = checkpointed(rows) if edges is not None else rows
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        met = checkpointed(rows.join(sizes, "bucket"))
+        sizes = written(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
+        met = written(rows.join(sizes, "bucket"))
         split = width > 16
         small = met.where(F.col("size") <= block_rows) if split else met
         compared = small.select("bucket", "print", "node").repartition("bucket").sortWithinPartitions("bucket", "print")
@@ -199,7 +199,7 @@ def near_groups(documents: DataFrame, words: int = 3, radius: int = 3) -> DataFr
     columns are ignored; an empty table gives no rows.
     """
     rooted = _rooted(documents, words, radius)
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = written(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     return rooted.join(least, "root").select("doc_id", "print", "component_id")
 
 
