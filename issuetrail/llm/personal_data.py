@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import checkpointed, pieces, table
+from issuetrail.llm.common import checkpointed, pieces, table, written
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -128,17 +128,17 @@ def good_patterns(found: DataFrame, rounds: int = 3, least: float = 0.8, seeds:
     A pattern's score is the sum of its instances' over their number and one more; an instance's is the chance that any of its
     patterns is right, and 1 for seeds. All sums combine before the shuffle, so a pattern or instance of many rows is a row for each task.
     """
-    edges = checkpointed(found.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
+    edges = written(found.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
     scored = edges.withColumn("known", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0))
     for turn in range(rounds):
         patterns = scored.groupBy("pattern").agg((F.sum("known") / (F.count("*") + 1)).alias("score"))
         if turn == rounds - 1:
             break
-        weighed = edges.join(patterns, "pattern")
+        weighed = edges.join(written(patterns), "pattern")
         # 1 - product of (1 - score): as a sum of logarithms
         chance = 1 - F.exp(F.sum(F.log1p(-F.least("score", F.lit(0.999999)))))
         instances = weighed.groupBy("instance").agg(F.when(F.max("kind").isNotNull(), 1.0).otherwise(chance).alias("known"))
-        scored = checkpointed(edges.join(instances, "instance"))
+        scored = written(edges.join(written(instances), "instance"))
     held = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("n"))
     held = held.groupBy("pattern").agg(F.sum("n").alias("seeds"), F.max(F.struct("n", "kind")).alias("most"))
     good = patterns.join(held.where(F.col("seeds") >= seeds), "pattern").where(F.col("score") >= least)
@@ -158,18 +158,18 @@ def find(documents: DataFrame) -> DataFrame:
     met = extracted.select("row", "base", F.explode("candidates").alias("c")).select("row", "base", "c.*")
     good = good_patterns(met.select("instance", "pattern", "kind"))
     free = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-    new = met.where("kind is null").drop("kind").where(free).join(good, "pattern")
+    new = met.where("kind is null").drop("kind").where(free).join(written(good), "pattern")
     # both sides' patterns may find it: once, with the better one's kind
     new = new.groupBy("row", "start", "end").agg(F.max(F.struct("score", "kind")).alias("best"))
     more = new.groupBy("row").agg(F.collect_list(F.struct("start", F.col("best.kind").alias("kind"), "end")).alias("more"))
     spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start int, kind int, end int>>"))))
     names = F.array(*[F.lit(k) for k in KINDS])
-    written = F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string")))
+    texts = F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string")))
     return extracted.join(more, "row", "left").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         *[f"n_{k}" for k in KINDS],
         "base_sha256",
-        F.array_join(written, ",").alias("spans"),
+        F.array_join(texts, ",").alias("spans"),
         F.coalesce(F.size("more"), F.lit(0)).cast("long").alias("n_found"),
     )
 
