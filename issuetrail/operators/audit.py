@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.operators.issues import is_issue_event, issue_variants
+from issuetrail.operators.issues import is_issue_event, issue_fields
 from issuetrail.operators.pulls import is_pull_event, pull_fields
 from issuetrail.operators.resolution import is_closed_in_window, is_wanted
 from issuetrail.functions.timestamps import instant_of
@@ -50,25 +50,31 @@ def with_batch(events: DataFrame, params: Params) -> DataFrame:
 
 
 def batch_stats(events: DataFrame, params: Params) -> DataFrame:
-    """Per batch: archive files, issue and pull-request events, and the distinct forms among them."""
+    """Per batch: archive files, issue and pull-request events, and the distinct forms among them.
+
+    One pass: every event gives its file and the digest of its form, so that neither bodies nor titles are shuffled.
+    """
     batched = with_batch(within_window(events, params), params)
-    seen = batched.groupBy("batch", "file_path").agg(
-        F.count_if(is_issue_event()).alias("issue_events"), F.count_if(is_pull_event()).alias("pr_events")
-    )
-    totals = seen.groupBy("batch").agg(
-        F.count("*").alias("files"),
-        F.sum("issue_events").alias("issue_events"),
-        F.sum("pr_events").alias("pr_events"),
+
+    def digest(fields: Column) -> Column:
+        return F.sha2(F.to_json(fields), 256)
+
+    form = F.when(is_issue_event(), F.struct(F.lit("issue").alias("kind"), digest(F.struct(*issue_fields()).dropFields("created_at", "closed_at")).alias("key"))).when(
+        is_pull_event(), F.struct(F.lit("pull").alias("kind"), digest(F.struct(*pull_fields())).alias("key"))
     )
-    issues = issue_variants(batched, "batch").groupBy("batch").agg(F.count("*").alias("issue_rows"))
-    # Versions are only counted, so bodies are told apart by digest and not shuffled themselves.
-    versions = batched.where(is_pull_event()).select("batch", *pull_fields())
-    versions = versions.withColumn("pr_body", F.sha2("pr_body", 256)).distinct()
-    pulls = versions.groupBy("batch").agg(F.count("*").alias("pr_rows"))
-    return (
-        totals.join(issues, "batch", "left")
-        .join(pulls, "batch", "left")
-        .fillna(0, ["issue_rows", "pr_rows"])
+    file = F.struct(F.lit("file").alias("kind"), F.col("file_path").alias("key"))
+    told = batched.select("batch", F.explode(F.array_compact(F.array(file, form))).alias("seen"))
+    counted = told.groupBy("batch", "seen.kind", "seen.key").agg(F.count("*").alias("n"))
+
+    def events_of(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+
+    return counted.groupBy("batch").agg(
+        F.count_if(F.col("kind") == "file").alias("files"),
+        events_of("issue").alias("issue_events"),
+        events_of("pull").alias("pr_events"),
+        F.count_if(F.col("kind") == "issue").alias("issue_rows"),
+        F.count_if(F.col("kind") == "pull").alias("pr_rows"),
     )
 
 

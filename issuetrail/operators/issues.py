@@ -68,12 +68,13 @@ def issue_variants(events: DataFrame, *within: str) -> DataFrame:
     )
 
 
-def issue_state(rows: DataFrame) -> DataFrame:
-    """Event rows in the mergeable form: the snapshot as one ordered struct.
+def issue_state(rows: DataFrame, *within: str) -> DataFrame:
+    """Event rows in the mergeable form: the snapshot as one ordered struct, beside the ``within`` columns.
 
     Times are put in normal form here, before the aggregation, so that nothing above it repeats the work.
     """
     return rows.select(
+        *within,
         "issue_url",
         F.struct(
             F.col("event_ts"),
@@ -89,8 +90,8 @@ def issue_state(rows: DataFrame) -> DataFrame:
     )
 
 
-def merge_issue_state(state: DataFrame) -> DataFrame:
-    merged = group_by_text(state, "issue_url").agg(F.max("latest").alias("latest"), F.min("created_at").alias("created_at"))
+def merge_issue_state(state: DataFrame, *within: str) -> DataFrame:
+    merged = group_by_text(state, "issue_url", *within).agg(F.max("latest").alias("latest"), F.min("created_at").alias("created_at"))
     return merged.drop(KEY_HASH)
 
 

@@ -52,9 +52,10 @@ def referenced_issues(pr_url: Column, body: Column) -> Column:
     return F.array_compact(F.transform(references(body), lambda r: referenced_issue(r, prefix)))
 
 
-def pull_state(rows: DataFrame) -> DataFrame:
-    """Event rows in the mergeable form."""
+def pull_state(rows: DataFrame, *within: str) -> DataFrame:
+    """Event rows in the mergeable form, beside the ``within`` columns."""
     return rows.select(
+        *within,
         "pr_url",
         F.struct(
             F.col("event_ts"),
@@ -66,9 +67,9 @@ def pull_state(rows: DataFrame) -> DataFrame:
     )
 
 
-def merge_pull_state(state: DataFrame) -> DataFrame:
+def merge_pull_state(state: DataFrame, *within: str) -> DataFrame:
     """A merge is final: a merged row wins over any number of unmerged ones."""
-    merged = group_by_text(state, "pr_url").agg(F.max("latest").alias("latest"), F.max("merged_at").alias("merged_at"))
+    merged = group_by_text(state, "pr_url", *within).agg(F.max("latest").alias("latest"), F.max("merged_at").alias("merged_at"))
     return merged.drop(KEY_HASH)
 
 
@@ -92,6 +93,6 @@ def issue_links(events: DataFrame) -> DataFrame:
     return link_rows(pull_rows(events)).distinct()
 
 
-def curated_links(rows: DataFrame) -> DataFrame:
+def curated_links(rows: DataFrame, *within: str) -> DataFrame:
     """Distinct links of curated rows, whose references are already extracted."""
-    return rows.select(F.explode("issue_urls").alias("issue_url"), "pr_url").distinct()
+    return rows.select(*within, F.explode("issue_urls").alias("issue_url"), "pr_url").distinct()

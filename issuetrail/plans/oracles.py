@@ -322,11 +322,13 @@ ORACLES: dict[str, str] = {
         line AS (
           SELECT type, moment FROM issue_event UNION ALL SELECT type, moment FROM pull_event
           UNION ALL SELECT '(broken)', moment FROM pull_event WHERE type = 'PullRequestEvent'
+          UNION ALL SELECT type, moment FROM issue_event WHERE type = 'IssuesEvent' AND closed IS NULL
         )
         SELECT strftime(date_trunc('month', moment), '%Y-%m-%d') AS slot, type, count(*) AS lines FROM line
         WHERE moment >= TIMESTAMP '1998-01-01' AND moment < TIMESTAMP '1998-08-01' GROUP BY ALL""",
     "curated_leaderboard": _LEADERBOARD,
     "incremental_leaderboard": _LEADERBOARD,
+    "incremental_windowed_leaderboard": _WINDOWED,
     "document_roundtrip": _PART_ROWS,
     "results_roundtrip": _PART_ROWS,
 }

@@ -344,13 +344,20 @@ def days_open(spark, sf_dir):
 # Sources, sinks and incremental runs --------------------------------------------------------------------
 
 
-def _write_archive(spark, sf_dir, folder):
-    """The events as gzipped JSON lines. A folder is one archive file's worth, named by month to keep them few.
+def _write_archive(spark, sf_dir, folder, daily=False):
+    """The events as gzipped JSON lines. A folder is one archive file's worth, named by month to keep them few; with ``daily``
+    by day in the window, and outside by the end of the month that is farther from it.
 
-    The rebalance spreads a month that holds much of the data over several files.
+    The rebalance spreads a month that holds much of the data over several files. Each opened issue is shown once more, with an
+    author that is no object.
     """
     found = _events(spark, sf_dir)
-    slot = F.concat(F.date_format(F.trunc("archive_date", "month"), "yyyy-MM-dd"), F.lit("-0"))
+    day = F.col("archive_date")
+    file_day = F.trunc(day, "month")
+    if daily:
+        after, before = day > F.lit(PARAMS.end.date()), day < F.lit(PARAMS.start.date())
+        file_day = F.when(after, F.last_day(day)).when(before, file_day).otherwise(day)
+    slot = F.concat(F.date_format(file_day, "yyyy-MM-dd"), F.lit("-0"))
     # Labels are raw JSON text in the frame and an array in the archive.
     labels = F.from_json("payload.issue.labels", "array<struct<name: string>>")
     payload = F.col("payload").withField("issue.labels", labels).alias("payload")
@@ -359,8 +366,13 @@ def _write_archive(spark, sf_dir, folder):
     broken = found.where(F.col("type") == "PullRequestEvent").select(
         F.concat(F.lit("{broken "), F.col("id")).alias("value"), slot.alias("slot")
     )
+    opened = (F.col("type") == "IssuesEvent") & F.col("payload.issue.closed_at").isNull()
+    odd = found.where(opened).select(
+        F.regexp_replace(event, '"labels":', '"user":"ghost","labels":').alias("value"), slot.alias("slot")
+    )
     (
         lines.unionByName(broken)
+        .unionByName(odd)
         .hint("rebalance", "slot")
         .write.partitionBy("slot")
         .option("compression", "gzip")
@@ -377,7 +389,7 @@ def scan_roundtrip(spark, sf_dir):
     folder = new_folder(spark, "archive")
     _write_archive(spark, sf_dir, folder)
     scanned = archive.scan_archive(spark, folder, first=date(1998, 1, 1), last=date(1998, 7, 1), file_glob=_WRITTEN)
-    kind = F.when(F.col("_corrupt").isNotNull(), F.lit("(broken)")).otherwise(F.col("type"))
+    kind = F.when(archive.is_unreadable(), F.lit("(broken)")).otherwise(F.col("type"))
     return scanned.groupBy(F.col("archive_date").cast("string").alias("slot"), kind.alias("type")).agg(
         F.count("*").alias("lines")
     )
@@ -441,6 +453,19 @@ def incremental_leaderboard(spark, sf_dir):
     return leaderboard.leaderboard(agents, found)
 
 
+def incremental_windowed_leaderboard(spark, sf_dir):
+    """The leaderboard of the window's archive days, from the kept state of a stream that has folded all days."""
+    folder = new_folder(spark, "incremental-window")
+    _write_archive(spark, sf_dir, f"{folder}/archive", daily=True)
+    incremental.fold_new_files(
+        spark, f"{folder}/archive", folder, PARAMS, files_per_batch=200, skip_damaged_files=True, file_glob=_WRITTEN
+    )
+    mined = incremental.read_state(spark, folder, PARAMS.start.date(), PARAMS.end.date(), PARAMS.orgs)
+    agents = _agents(spark, sf_dir)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
+    return leaderboard.leaderboard(agents, found)
+
+
 QUERIES: dict[str, Query] = {
     "issue_snapshots": issue_snapshots,
     "issue_variants": issue_variants,
@@ -486,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "document_roundtrip": document_roundtrip,
     "results_roundtrip": results_roundtrip,
     "incremental_leaderboard": incremental_leaderboard,
+    "incremental_windowed_leaderboard": incremental_windowed_leaderboard,
 }
 
 

@@ -13,7 +13,7 @@ from issuetrail.sources.session import new_folder
 from issuetrail.sources.testdata import PARAMS
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"registry_append", "registry_scan", "scan_roundtrip", "curated_leaderboard", "document_roundtrip", "results_roundtrip", "incremental_leaderboard"}
+WRITING = {"registry_append", "registry_scan", "scan_roundtrip", "curated_leaderboard", "document_roundtrip", "results_roundtrip", "incremental_leaderboard", "incremental_windowed_leaderboard"}
 
 
 def plan(df, mode="formatted"):
@@ -68,5 +68,9 @@ def test_curated_reads_prune_partitions_and_columns(spark, tmp_path):
     assert "merged_at" in schema and "issue_urls" not in schema and "labels" not in schema
 
 
+def test_batch_stats_reads_each_branch_of_events_once(spark):
+    assert plan(entry.queries()["batch_stats"](spark, SF)).count(") Scan parquet") == 5
+
+
 def test_top_agents_sort_without_a_global_sort(spark):
     assert "TakeOrderedAndProject" in plan(entry.queries()["top_agents"](spark, SF))

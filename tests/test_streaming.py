@@ -1,6 +1,7 @@
 from datetime import datetime, timezone
 
-from helpers import agents, write_archive
+import pytest
+from helpers import agents, issue_event, pull_event, write_archive
 from test_operators import random_events
 
 from issuetrail.operators.resolution import resolved_issues
@@ -50,3 +51,87 @@ def test_incremental_equals_batch(spark, tmp_path):
     assert resolved_issues(merged.issues, merged.resolution(known), PARAMS).count() == resolved_issues(
         folded.issues, folded.resolution(known), PARAMS
     ).count()
+
+
+def resolved(mined, known, params=PARAMS):
+    return resolved_issues(mined.issues, mined.resolution(known, params), params).count()
+
+
+def test_state_has_a_window(spark, tmp_path):
+    """A pull request that was merged long before the window is no evidence in it."""
+    source, folder = str(tmp_path / "archive"), new_folder(spark, "test-window")
+    link = "https://github.com/apache/r/issues/7"
+    write_archive(source, {
+        "2022-03-01-0": [pull_event(1, "a", merged="2022-03-01T00:00:00Z", body=link, at="2022-03-01T00:00:00Z")],
+        "2024-03-01-0": [issue_event(7, "2021-01-01T00:00:00Z", closed="2024-03-01T00:00:00Z")],
+    })
+    incremental.fold_new_files(spark, source, folder, PARAMS)
+    known = agents(spark, "a")
+    assert resolved(incremental.read_state(spark, folder), known) == 1
+    window = incremental.read_state(spark, folder, PARAMS.start.date(), PARAMS.end.date())
+    scanned = archive.read_events(spark, source, first=PARAMS.start.date(), last=PARAMS.end.date())
+    assert resolved(window, known) == resolved(mine_events(scanned, PARAMS), known) == 0
+    assert state_rows(window) == state_rows(mine_events(scanned, PARAMS))
+
+
+def test_state_knows_its_organisations(spark, tmp_path):
+    source, folder = str(tmp_path / "archive"), new_folder(spark, "test-orgs")
+    events = [issue_event(1, "2024-03-01T00:00:00Z"), issue_event(2, "2024-03-01T00:00:00Z", repo="github/x")]
+    write_archive(source, {"2024-03-01-0": events})
+    two = Params(as_of=PARAMS.as_of, orgs=("github", "apache"))
+    incremental.fold_new_files(spark, source, folder, two)
+    assert incremental.read_state(spark, folder).issues.count() == 2
+    assert incremental.read_state(spark, folder, orgs=("github",)).issues.count() == 1
+    with pytest.raises(ValueError):
+        incremental.read_state(spark, folder, orgs=("huggingface",))
+    with pytest.raises(ValueError):
+        incremental.fold_epoch(archive.scan_archive(spark, source), 5, folder, PARAMS)
+
+
+def test_stream_goes_on_past_a_damaged_file(spark, tmp_path):
+    source, folder = str(tmp_path / "archive"), new_folder(spark, "test-damaged")
+    write_archive(source, {"2024-03-01-0": [issue_event(1, "2024-03-01T00:00:00Z")], "2024-03-01-1": b"no gzip"})
+    incremental.fold_new_files(spark, source, folder, PARAMS, files_per_batch=1, skip_damaged_files=True)
+    write_archive(source, {"2024-03-01-2": [issue_event(2, "2024-03-01T02:00:00Z")]})
+    incremental.fold_new_files(spark, source, folder, PARAMS, files_per_batch=1, skip_damaged_files=True)
+    assert incremental.read_state(spark, folder).issues.count() == 2
+    assert [r["file_path"].rsplit("/", 1)[1] for r in archive.damaged_files(spark, source).collect()] == ["2024-03-01-1.json.gz"]
+
+
+def test_another_checkpoint_overwrites_nothing(spark, tmp_path):
+    folder = new_folder(spark, "test-checkpoints")
+    for name in ("one", "two"):
+        source = str(tmp_path / name)
+        write_archive(source, {"2024-03-01-0": [issue_event(len(name) + ord(name[0]), "2024-03-01T00:00:00Z")]})
+        incremental.fold_new_files(spark, source, folder, PARAMS, checkpoint=f"{folder}/checkpoint-{name}")
+    assert incremental.read_state(spark, folder).issues.count() == 2
+
+
+def test_folding_goes_on_after_compaction(spark, tmp_path):
+    source, folder, target = str(tmp_path / "archive"), new_folder(spark, "test-before"), new_folder(spark, "test-after")
+    write_archive(source, {"2024-03-01-0": [issue_event(1, "2024-03-01T00:00:00Z"), "{bad"]})
+    incremental.fold_new_files(spark, source, folder, PARAMS)
+    incremental.compact_state(spark, folder, target)
+    (tmp_path / "archive" / "2024-03-01-0.json.gz").unlink()
+    write_archive(source, {"2024-03-02-0": [issue_event(2, "2024-03-02T00:00:00Z")]})
+    incremental.fold_new_files(spark, source, target, PARAMS, checkpoint=f"{folder}/checkpoint")
+    day = datetime(2024, 3, 2).date()
+    assert incremental.read_state(spark, target).issues.count() == 2
+    assert incremental.read_state(spark, target, day, day).issues.count() == 1
+    assert incremental.folded_lines(spark, target).count() == 1
+
+
+def test_event_with_an_odd_unused_field_is_kept(spark, tmp_path):
+    source = str(tmp_path / "archive")
+    odd = [issue_event(n, "2024-03-01T00:00:00Z", user=user) for n, user in enumerate(("ghost", [], 3))]
+    unclear = issue_event(9, "2024-03-01T00:00:00Z", pull_request="x")
+    write_archive(source, {"2024-03-01-0": [*odd, unclear, "{bad", "[1]"]})
+    found = mine_events(archive.read_events(spark, source), PARAMS)
+    assert sorted(r["number"] for r in found.issues.collect()) == ["0", "1", "2"]
+    assert archive.quarantine(archive.scan_archive(spark, source)).count() == 3
+
+
+def test_blank_closing_time_is_open(spark, tmp_path):
+    source = str(tmp_path / "archive")
+    write_archive(source, {"2024-03-01-0": [issue_event(1, "2024-03-01T00:00:00Z", closed_at="  ")]})
+    assert mine_events(archive.read_events(spark, source), PARAMS).issues.first()["state"] == "open"
