@@ -1,7 +1,8 @@
 """Operator 9, benchmark decontamination: documents that hold a passage of a benchmark, up to a share of edits.
 
-CGK random walks turn edit distance into Hamming distance; bits sampled from the walks are hashed, several times over, so that windows of an
-item's size that are near the item meet it under some key with the target recall. What meets is verified by exact edit distance.
+CGK random walks turn edit distance into Hamming distance; bits sampled from the walks are hashed, several times over, so that windows of a
+part's size that are near the part meet it under some key with the target recall. Parts are bounded, since walks drift further apart with each
+edit: of an item's parts one has no more than its share of the edits. What meets is verified by the exact edit distance of the whole item.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from issuetrail.llm.common import MOST, pieces, table
 
 #: Bytes of a seed at most, and the size from which items may be met with edits.
 SEED, LONG = 16, 32
+#: Bytes of a part of an item at most: the walks of longer ones drift too far apart.
+PART = 200
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BITS = 22
 #: A-Z in lower case, white space as one kind of character.
@@ -36,6 +39,12 @@ def seed_size(sizes: Iterable[int], share: float) -> int:
     return min([SEED, *(max(1, -(-(n - int(share * n)) // (int(share * n) + 1))) for n in sizes)])
 
 
+def parts_of(size: int) -> list[tuple[int, int]]:
+    """(start, stop) of the parts of an item, as equal as can be: k edits within a share of the item leave one with no more than that share of its own size."""
+    n = -(-size // PART)
+    return [(size * i // n, size * (i + 1) // n) for i in range(n)]
+
+
 def seeds(data: np.ndarray, size: int = SEED) -> np.ndarray:
     """A hash of the `size` bytes, at most SEED, at each place."""
     n = len(data) - size + 1
@@ -117,11 +126,14 @@ class Block:
         self.share = share
         self.sizes = np.array([len(t) for t in self.texts])
         self.short = [k for k, t in enumerate(self.texts) if len(t) < LONG]
-        self.seed = seed_size([len(t) for t in self.texts if len(t) >= LONG], share)
-        found = [(s, k, at) for k, t in enumerate(self.texts) if len(t) >= LONG for at, s in enumerate(seeds(t, self.seed).tolist())]
+        # (item, start, stop)
+        self.parts = [(k, start, stop) for k, t in enumerate(self.texts) if len(t) >= LONG for start, stop in parts_of(len(t))]
+        self.part_sizes = np.array([stop - start for _, start, stop in self.parts], np.int64)
+        self.seed = seed_size(self.part_sizes.tolist(), share)
+        found = [(s, p, at) for p, (k, start, stop) in enumerate(self.parts) for at, s in enumerate(seeds(self.texts[k][start:stop], self.seed).tolist())]
         found.sort()
         self.seeds = np.array([f[0] for f in found], np.uint64)
-        self.item = np.array([f[1] for f in found], np.int64)
+        self.part = np.array([f[1] for f in found], np.int64)
         self.at = np.array([f[2] for f in found], np.int64)
         self.marks = np.zeros(1 << _BITS, bool)
         self.marks[(self.seeds >> np.uint64(64 - _BITS)).astype(np.int64)] = True
@@ -132,11 +144,11 @@ class Block:
         self.walks = coins.integers(0, 2, (repeats, 4096, 256), dtype=np.int64).astype(np.int8)
         self.samples = np.sort(coins.random((repeats, bits)) * 0.9, axis=1)
         self.table: dict[int, list[int]] = {}
-        long = [k for k in range(len(self.texts)) if len(self.texts[k]) >= LONG]
-        if long:
-            for k, row in zip(long, self.keys([self.texts[k] for k in long]).tolist(), strict=True):
+        for some in range(0, len(self.parts), 4096):
+            rows = self.keys([self.texts[k][start:stop] for k, start, stop in self.parts[some : some + 4096]]).tolist()
+            for p, row in enumerate(rows, some):
                 for key in row:
-                    self.table.setdefault(key, []).append(k)
+                    self.table.setdefault(key, []).append(p)
 
     def keys(self, texts: list[np.ndarray]) -> np.ndarray:
         width = max(map(len, texts))
@@ -169,30 +181,44 @@ class Block:
         doc = np.searchsorted(ends, places, "right")
         first = np.append(0, ends[:-1])
         start = np.maximum(places - self.at[which], first[doc])
-        size = self.sizes[self.item[which]]
+        size = self.part_sizes[self.part[which]]
         # each window once: its start and its size
         windows = np.unique(np.stack([start, size, doc], axis=1), axis=0) if len(start) else np.zeros((0, 3), np.int64)
+        failed: set[tuple[int, int, int, int]] = set()
         for some in range(0, len(windows), 4096):
             part = windows[some : some + 4096]
             stops = np.minimum(part[:, 0] + part[:, 1], ends[part[:, 2]] - 1)
             keys = self.keys([data[a:b] for a, b in zip(part[:, 0], stops, strict=True)])
             for (begin, length, d), row in zip(part.tolist(), keys.tolist(), strict=True):
-                for k in {k for key in row for k in self.table.get(key, ())}:
+                for p in {p for key in row for p in self.table.get(key, ())}:
+                    k, before, stop = self.parts[p]
                     if self.ids[k] in found[d]:
                         continue
+                    size, floor, top = stop - before, int(first[d]), int(ends[d]) - 1
+                    # the part first, which is short, and then the whole item around it
+                    if size < self.sizes[k]:
+                        edits = int(self.share * size)
+                        near = data[max(begin - edits, floor) : min(begin + max(length, size) + edits, top)]
+                        if not holds(self.texts[k][before:stop].tobytes(), near.tobytes(), edits):
+                            continue
                     edits = int(self.share * self.sizes[k])
-                    region = data[max(begin - edits, int(first[d])) : min(begin + max(length, int(self.sizes[k])) + edits, int(ends[d]) - 1)]
-                    if holds(self.texts[k].tobytes(), region.tobytes(), edits):
+                    rest = max(length, size) + int(self.sizes[k]) - stop
+                    begins, stops_ = max(begin - before - edits, floor), min(begin + rest + edits, top)
+                    if (k, d, begins, stops_) in failed:
+                        continue
+                    if holds(self.texts[k].tobytes(), data[begins:stops_].tobytes(), edits):
                         found[d].add(self.ids[k])
+                    else:
+                        failed.add((k, d, begins, stops_))
         return found
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = 0.05, recall: float = 0.99, block_chars: int = 1_000_000) -> DataFrame:
     """The documents' rows and columns with `benchmark_items`: the sorted ids of the items (item_id, text) that each text holds.
 
-    A text holds an item if a substring of it is at most `share` of the item's bytes away in edits, letter case (A-Z) and kinds of white space aside. Windows of an
-    item's size are looked at wherever a seed of it stands; the sampled walks then find those near an item with the given recall, and an exact
-    check settles each. Items of under 32 bytes must occur exactly; null or empty ones never do. A null text holds none. Items are sent out in
+    A text holds an item if a substring of it is at most `share` of the item's bytes away in edits, letter case (A-Z) and kinds of white space aside. Items are cut
+    into parts of up to PART bytes, and windows of a part's size are looked at wherever a seed of it stands; the sampled walks then find those near
+    a part with the given recall, at any length of the item, and an exact check of the whole item settles each. Items of under 32 bytes must occur exactly; null or empty ones never do. A null text holds none. Items are sent out in
     blocks of `block_chars`, one pass over the documents for each block, so a benchmark of any size has a bounded part in memory. Repeated items
     and rows do no harm; a column `benchmark_items` is replaced; empty tables give no rows, or no items.
     """

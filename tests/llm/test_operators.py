@@ -212,6 +212,23 @@ def test_passages_with_edits_are_found(spark):
     assert {r["doc_id"]: r["benchmark_items"] for r in split.collect()} == found
 
 
+@pytest.mark.parametrize("size", [1000, 3000, 10_000])
+def test_long_items_with_edits_are_found(size):
+    """Edits at a twentieth of the bytes, at random places, in prose that begins within another text."""
+    items, texts, n = [], [], 24_000 // size if size > 1000 else 24
+    for i in range(n):
+        item = prose(size + i, size // 5)[:size]
+        items.append((i, item))
+        pick = random.Random(i)
+        changed = list(item)
+        for k in pick.sample(range(size), int(0.05 * size)):
+            changed[k] = pick.choice(["", "#", changed[k] + "~"])
+        texts.append(f"{prose(i + 5000, 30)} {''.join(changed)} {prose(i + 6000, 30)}")
+    met = decontamination.Block(items, 0.05, 0.99).met_by([*texts, *(prose(i + 7000, size // 5) for i in range(2))])
+    assert sum(i in met[i] for i in range(n)) >= n - (n == 24)
+    assert not any(met[n:])
+
+
 @pytest.mark.parametrize("size, share", [(32, 0.05), (40, 0.05), (47, 0.05), (63, 0.05), (100, 0.05), (300, 0.05), (40, 0.2)])
 def test_every_item_keeps_a_seed(size, share):
     """Substitutions at the worst places: evenly spaced."""
