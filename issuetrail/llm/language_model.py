@@ -2,7 +2,8 @@
 
 The trie is a table of n-grams: a context of up to ORDER symbols and the symbol after it, as a number of nine bits a symbol, the newest lowest.
 Symbol 0 stands before and after a text, bytes are 1 to 256. N-grams of the longest contexts are counted over all training texts; shorter
-contexts are sums over longer ones, so a context's symbols are a subset of those of its suffix.
+contexts are sums over longer ones, so a context's symbols are a subset of those of its suffix. The trie stays a distributed table, whole: each n-gram
+of the documents gets its probability there, by a join per context length. Tasks are sent those of the most frequent n-grams; others meet theirs in a join.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import LEAST, SPACE, ascii_lower, checkpointed, fold, pieces, table
+from issuetrail.llm.common import LEAST, SPACE, ascii_lower, checkpointed, fold, pieces, table, written
 
 ORDER, SYMBOL, ALPHABET = 5, 9, 257
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -46,19 +47,22 @@ def events(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of the longest n-grams of a task's texts, one row for each and each few pieces."""
+    """Counts of the longest n-grams of a task's texts, in training (n) and in all (met), one row or two for each and each few pieces."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def merged() -> pd.DataFrame:
-        grams = np.concatenate([g for g, _ in held])
+        marked = np.concatenate([g for g, _ in held])
         counts = np.concatenate([c for _, c in held])
-        order = np.argsort(grams, kind="stable")
-        grams, counts = grams[order], counts[order]
-        first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
-        return pd.DataFrame({"gram": grams[first], "n": np.add.reduceat(counts, first)})
+        order = np.argsort(marked, kind="stable")
+        marked, counts = marked[order], counts[order]
+        first = np.flatnonzero(np.append(True, marked[1:] != marked[:-1]))
+        marked, met = marked[first], np.add.reduceat(counts, first)
+        return pd.DataFrame({"gram": marked >> 1, "n": met * (marked & 1), "met": met})
 
     for piece in pieces(batches):
-        held.append(np.unique(events(piece["text"].tolist())[0], return_counts=True))
+        grams, starts = events(piece["text"].tolist())
+        learned = np.repeat(piece["learned"].to_numpy().astype(np.int64), np.diff(np.append(starts, len(grams))))
+        held.append(np.unique(grams << 1 | learned, return_counts=True))
         if sum(len(g) for g, _ in held) > 3_000_000:
             yield merged()
             held.clear()
@@ -66,28 +70,45 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield merged()
 
 
-def gather(texts: DataFrame, most_grams: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each context length from 0 to ORDER, the n-grams kept and their counts, sorted; texts: the training texts, as `text`.
+def resolve(texts: DataFrame) -> DataFrame:
+    """(gram, met, score) for each different n-gram of the longest contexts in texts (text, learned): how often it occurs, and log10 of the probability of
+    its last symbol after its context, by all n-grams of the texts that are learned.
 
-    All texts are counted. Kept are the n-grams, of any length, that occur at least t times, t being the least number for which these are
-    `most_grams` at most: as much of the trie as the bound allows, and all of it for a small corpus.
+    The rules are those of Trie, from the shortest context up. Each row of a level has n, its count in training; of its context, the total and the kinds;
+    free, its score where no longer context is known; and escaped, what follows an escape from its own context. A row joins its suffix, and
+    sums over a context's rows, of which there are at most ALPHABET.
     """
-    longest = texts.mapInPandas(_counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    levels = checkpointed(longest.withColumn("length", F.lit(ORDER)))
+    levels = [checkpointed(texts.mapInPandas(_counted, "gram long, n long, met long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("met").alias("met")))]
     for length in range(ORDER - 1, -1, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << SYMBOL * (length + 1)) - 1)).alias("gram")
-        above = levels.where(F.col("length") == length + 1)
-        levels = levels.union(above.groupBy(shorter).agg(F.sum("n").alias("n")).withColumn("length", F.lit(length)))
-    levels = checkpointed(levels)
-    least = least_count(levels, "n", most_grams)
-    kept = levels.where(F.col("n") >= least).select("length", "gram", "n").toArrow()
-    length, gram, n = (kept.column(c).to_numpy() for c in ("length", "gram", "n"))
-    found = []
-    for k in range(ORDER + 1):
-        own = length == k
-        order = np.argsort(gram[own])
-        found.append((gram[own][order], n[own][order]))
-    return found
+        levels.append(checkpointed(levels[-1].groupBy(shorter).agg(F.sum("n").alias("n"), F.sum("met").alias("met"))))
+    levels.reverse()
+    seen = F.col("n") > 0
+    log = lambda c: F.log10(c.cast("double"))
+    below = None
+    for length, level in enumerate(levels):
+        context = Window.partitionBy(F.shiftright("gram", SYMBOL))
+        if length:
+            low = F.col("gram").bitwiseAND(F.lit((1 << SYMBOL * length) - 1))
+            names = [F.col(c).alias(f"low_{c}") for c in ("gram", "n", "total", "kinds", "free", "escaped")]
+            level = level.join(below.select(*names), low == F.col("low_gram"))
+        level = level.select("*", F.sum("n").over(context).alias("total"), F.sum(seen.cast("long")).over(context).alias("kinds"))
+        whole = log(F.col("total") + F.col("kinds"))
+        if length:
+            level = level.withColumn("shared", F.sum(F.when(seen, F.col("low_n")).otherwise(0)).over(context))
+            # what the suffix has beside this context's symbols
+            rest_kinds = F.col("low_kinds") - F.col("kinds")
+            rest = log(F.greatest(F.col("low_total") - F.col("shared") + rest_kinds, F.lit(1)))
+            passed = F.when(rest_kinds > 0, log(F.greatest(rest_kinds, F.lit(1))) - rest).otherwise(0.0)
+            escaped = F.when(F.col("low_n") > 0, log(F.col("low_n")) - rest).otherwise(passed + F.col("low_escaped"))
+            unknown = F.col("low_free")
+        else:
+            escaped = -log(F.greatest(F.lit(ALPHABET) - F.col("kinds"), F.lit(1)))
+            unknown = F.lit(-float(np.log10(ALPHABET)))
+        free = F.when(F.col("total") == 0, unknown).when(seen, log(F.col("n")) - whole)
+        free = free.otherwise(log(F.greatest(F.col("kinds"), F.lit(1))) - whole + escaped)
+        below = level.select("gram", "n", "met", "total", "kinds", free.alias("free"), escaped.alias("escaped"))
+    return below.select("gram", "met", F.col("free").alias("score"))
 
 
 class Lookup:
@@ -126,7 +147,7 @@ class Lookup:
 
 
 class Trie:
-    """Log probabilities by method C: a context of t events and d different symbols escapes with d / (t + d); symbols of the longer
+    """The model in memory, which `resolve` is checked against. Log probabilities by method C: a context of t events and d different symbols escapes with d / (t + d); symbols of the longer
     contexts that were escaped from are excluded."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
@@ -223,12 +244,17 @@ def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_word
     has one token, the end. Null ids take part; equal rows stay and each counts in training. Without training rows the byte model
     is uniform. Other columns are ignored; an empty table gives no rows.
 
-    Counts of frequent words, at most `head_words` of at most 64 bytes, are sent to all tasks; all other words meet theirs in a join.
+    The whole trie is used. Probabilities of the `most_grams` most frequent n-grams, and counts of frequent words, at most `head_words` of at most
+    64 bytes, are sent to all tasks; all other n-grams and words meet theirs in a join, so neither number changes a result.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select(F.coalesce("doc_id", F.lit(LEAST)).alias("key"), F.xxhash64("text").alias("version"), "doc_id", "text")
     learned = docs.where(training).select("text")
-    trie = gather(learned, most_grams)
+    told = F.coalesce(training, F.lit(False)).alias("learned")
+    grams = checkpointed(resolve(docs.select("text", told)))
+    sent = F.col("met") >= least_count(grams, "met", most_grams)
+    frequent_grams = grams.where(sent).select("gram", "score").toArrow()
+    other_grams = grams.where(~sent).select("gram", F.col("score").alias("each"))
     counts = checkpointed(word_counts(learned))
     ends = learned.count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -241,19 +267,29 @@ def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_word
     known = F.sum(F.when(F.col("c").isNotNull(), 1).otherwise(0))
     common = met.groupBy("key", "version").agg(F.sum(gain).alias("gain"), known.alias("known"), F.count("*").alias("met"))
     rare = met.where("c is null").select("key", "version", "word").join(tail, "word").groupBy("key", "version").agg(F.sum(gain).alias("rare_gain"), F.count("*").alias("rare"))
-    model = documents.sparkSession.sparkContext.broadcast(trie)  # most_grams at most
+    # most_grams at most
+    model = documents.sparkSession.sparkContext.broadcast([frequent_grams.column(c).to_numpy() for c in ("gram", "score")])
 
-    @F.pandas_udf("score double, n long")
+    @F.pandas_udf("score double, n long, others array<struct<gram: long, times: long>>")
     def code_length(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ready = Trie(model.value)
+        known_grams, scores = model.value
+        ready, scores = Lookup(known_grams), np.append(scores, 0.0)
         for piece in pieces((pd.DataFrame({"text": part}) for part in texts), 1_000_000):
             grams, starts = events(piece["text"].tolist())
             symbol = (1 << SYMBOL) - 1
             begins = _IN_WORD[grams & symbol] & ~_IN_WORD[(grams >> SYMBOL) & symbol]
-            yield pd.DataFrame({"score": np.add.reduceat(ready.score(grams), starts), "n": np.add.reduceat(begins.astype(np.int64), starts)})
+            found = ready.find(grams)
+            missed = np.flatnonzero(found < 0)
+            cuts = np.searchsorted(missed, starts[1:])
+            others = [[{"gram": g, "times": t} for g, t in zip(*(x.tolist() for x in np.unique(grams[own], return_counts=True)), strict=True)] for own in np.split(missed, cuts)]
+            yield pd.DataFrame({"score": np.add.reduceat(scores[found], starts), "n": np.add.reduceat(begins.astype(np.int64), starts), "others": others})
 
     rows = docs.select("key", "version", "doc_id", code_length("text").alias("own")).select("key", "version", "doc_id", "own.*")
-    found = rows.join(common, ["key", "version"], "left").join(rare, ["key", "version"], "left")
+    # read from the checkpoint, a row keeps its number
+    rows = checkpointed(rows.withColumn("row", F.monotonically_increasing_id()))
+    missed = rows.select("row", F.explode("others").alias("o")).select("row", "o.*").join(written(other_grams), "gram")
+    missed = missed.groupBy("row").agg(F.sum(F.col("each") * F.col("times")).alias("other_score"))
+    found = rows.join(missed, "row", "left").join(common, ["key", "version"], "left").join(rare, ["key", "version"], "left")
     zero = F.lit(0.0)
     # equal rows have been summed together
     copies = F.greatest(F.col("met") / F.greatest("n", F.lit(1)), F.lit(1.0))
@@ -262,7 +298,7 @@ def score(documents: DataFrame, training, most_grams: int = 2_000_000, head_word
     n_tokens = (F.col("n") + 1).cast("long")
     base = gains + F.log10(F.lit(float(ends + 1))) - n_tokens * F.log10(F.lit(float(all_tokens + kinds + 1)))
     return found.select(
-        "doc_id", "version", n_tokens.alias("n_tokens"), (knowns + int(ends > 0)).alias("n_known"), F.lit(int(all_tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
+        "doc_id", "version", n_tokens.alias("n_tokens"), (knowns + int(ends > 0)).alias("n_known"), F.lit(int(all_tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("other_score", zero)).alias("score")
     )
 
 

@@ -324,6 +324,19 @@ def test_probabilities_of_a_context_sum_to_one():
         assert abs((10**scores).sum() - 1) < 1e-9
 
 
+@pytest.mark.parametrize("most_grams", [20, 2_000_000])
+def test_scores_are_those_of_the_whole_trie(spark, most_grams):
+    """However few n-grams are sent to the tasks."""
+    texts = [prose(i, 30 + i) for i in range(12)] + ["Zebra quartz \x01\x02", "", "the ", "\u00e9\u00e9"]
+    frame = documents(spark, [*texts, texts[3]])
+    held = {1, 5, 12, 15}
+    grams, _ = language_model.events([t for i, t in enumerate([*texts, texts[3]]) if i not in held])
+    trie = language_model.Trie([np.unique(grams & ((1 << 9 * (k + 1)) - 1), return_counts=True) for k in range(language_model.ORDER + 1)])
+    found = {r["doc_id"]: r["score"] for r in language_model.score(frame, ~F.col("doc_id").isin(*held), most_grams=most_grams).collect()}
+    for i, text in enumerate([*texts, texts[3]]):
+        assert abs(found[i] - trie.score(language_model.events([text])[0]).sum()) < 1e-6
+
+
 def test_base_is_exact_and_all_rows_stay(spark):
     frame = odd(spark)
     learn = F.coalesce(F.col("doc_id"), F.lit(0)) != 5
