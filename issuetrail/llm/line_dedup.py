@@ -23,8 +23,24 @@ def _chunks(lines: Column, divisor: int) -> Column:
     return F.transform(F.slice(bounds, F.lit(1), F.size(bounds) - 1), lambda a, i: F.struct(a.alias("at"), (bounds[i + 1] - a + 1).alias("size")))
 
 
-def repeated_lines(rows: DataFrame, divisor: int, least_chars: int) -> DataFrame:
-    """(node, version, gone): the places of lines to take out of each text; rows: (node, version, text), equal rows once or more.
+def _lines_of(chunks: Column) -> Column:
+    """The places of all lines of an array of (at, size)."""
+    return F.array_distinct(F.flatten(F.transform(chunks, lambda c: F.sequence(c["at"], c["at"] + c["size"] - 1))))
+
+
+def _runs(lines: Column, chunks: Column, least_chars: int) -> Column:
+    """The runs (at, size) that chunks make where one begins on a line of the one before, if a run has so many characters."""
+    end = lambda c: c["at"] + c["size"] - 1
+    chunks = F.array_sort(chunks)
+    n = F.size(chunks)
+    begins = F.filter(chunks, lambda c, i: F.when(i == 0, True).otherwise(end(F.get(chunks, i - 1)) < c["at"]))
+    ends = F.filter(chunks, lambda c, i: F.when(i == n - 1, True).otherwise(end(c) < F.get(chunks, i + 1)["at"]))
+    runs = F.zip_with(begins, ends, lambda a, b: F.struct(a["at"].alias("at"), (end(b) - a["at"] + 1).alias("size")))
+    return F.filter(runs, lambda r: F.char_length(F.array_join(F.slice(lines, r["at"] + 1, r["size"]), "\n")) >= least_chars)
+
+
+def repeated_chunks(rows: DataFrame, divisor: int, least_chars: int) -> DataFrame:
+    """(node, version, gone): the chunks (at, size) to take out of each text, of so many characters each; rows: (node, version, text), equal rows once or more.
 
     Chunks are counted by hash, without their bytes. The bytes of those that occur again are then compared: all that share a hash must be
     the same (least and greatest are equal), or none is taken out. Counting and comparing combine before the shuffle; a chunk that very many texts
@@ -45,15 +61,14 @@ def repeated_lines(rows: DataFrame, divisor: int, least_chars: int) -> DataFrame
     compared = texts.select("c.hash", chunk.alias("chunk")).groupBy("hash").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
     same = written(compared.where(F.col("least") == F.col("most")).select("hash"))
     gone = met.where(~F.col("is_first")).join(same, "hash")
-    lines = gone.select("node", "version", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("line"))
-    return lines.groupBy("node", "version").agg(F.collect_set("line").alias("gone"))
+    return gone.groupBy("node", "version").agg(F.collect_set(F.struct("at", "size")).alias("gone"))
 
 
-def remove_repeated(documents: DataFrame, divisor: int = 1, least_chars: int = 40) -> DataFrame:
+def remove_repeated(documents: DataFrame, divisor: int = 1, least_chars: int = 40, whole_runs: bool = True) -> DataFrame:
     """The documents' rows and columns with repeated multi-line chunks taken out of text, n_chars (if there is one) put right, and `removed_lines`.
 
     Of each chunk the first occurrence stays, by doc_id (null last), then by the text's hash, then by place; later ones go, also in the same
-    document. Chunks of under `least_chars` characters stay. With the divisor 1 every two neighbouring lines are a chunk, so every repeated
+    document. Runs of such chunks that are under `least_chars` characters stay; without `whole_runs`, each chunk under it does, also in a longer run. With the divisor 1 every two neighbouring lines are a chunk, so every repeated
     run of lines goes whole; a larger one makes longer chunks, less to shuffle, and leaves the ends of runs. A null text stays null;
     a text of which all lines go is empty; equal rows are one document and share its result; other columns are kept as they are. Of the
     ids, which are integers, 2^63 - 1 stands for null.
@@ -63,12 +78,15 @@ def remove_repeated(documents: DataFrame, divisor: int = 1, least_chars: int = 4
     sized = ["n_chars"] if "n_chars" in documents.columns else []
     tagged = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MOST)).alias(node), F.xxhash64("text").alias(version), "text", *sized, *more)
     rows = tagged.select(F.col(node).alias("node"), F.col(version).alias("version"), "text")
-    found = repeated_lines(rows, divisor, least_chars)
+    found = repeated_chunks(rows, divisor, 0 if whole_runs else least_chars)
     found = found.select(F.col("node").alias(node), F.col("version").alias(version), F.col("gone").alias(gone))
     lines = F.split("text", "\n")
+    chunks = _runs(lines, F.col(gone), least_chars) if whole_runs else F.col(gone)
+    tagged = tagged.join(found, [node, version], "left").withColumn(gone, _lines_of(chunks))
+    tagged = tagged.withColumn(gone, F.when(F.size(gone) > 0, F.col(gone)))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
-    result = tagged.join(found, [node, version], "left").withColumn("text", text).withColumn("removed_lines", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
+    result = tagged.withColumn("text", text).withColumn("removed_lines", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
     result = result.withColumn("doc_id", F.when(F.col(node) != MOST, F.col(node)))
     if sized:
         size = F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
@@ -77,7 +95,8 @@ def remove_repeated(documents: DataFrame, divisor: int = 1, least_chars: int = 4
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # SQL asks for the least length of each pair of lines
+    cleaned = remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"), whole_runs=False)
     return cleaned.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), "removed_lines", "text")
 
 

@@ -154,6 +154,16 @@ def test_repeated_runs_go(spark):
     assert line_dedup.remove_repeated(empty(spark)).count() == 0
 
 
+def test_runs_of_short_lines_go_whole(spark):
+    """20 lines of 17 characters, which no pair of 40 is in, among long ones too; a short run stays."""
+    verse = "\n".join(f"line {i:02d} of verse" for i in range(20))
+    mixed = f"{prose(1, 9)}\n{prose(2, 9)}\na\nb\nc\n{prose(3, 9)}\n{prose(4, 9)}"
+    texts = [f"{prose(5, 9)}\n{verse}", f"{prose(6, 9)}\n{verse}\n{prose(7, 9)}", mixed, f"{prose(8, 9)}\n{mixed}", "x\ny\nz", "w\nx\ny\nz"]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeated(documents(spark, texts)).collect()}
+    assert found[0] == texts[0] and found[1] == f"{prose(6, 9)}\n{prose(7, 9)}"
+    assert found[2] == mixed and found[3] == prose(8, 9) and found[4] == "x\ny\nz" and found[5] == "w\nx\ny\nz"
+
+
 def test_larger_chunks_only_take_what_repeats(spark):
     shared = "\n".join(prose(200 + i, 12) for i in range(40))
     frame = documents(spark, [shared, f"{prose(1, 12)}\n{shared}", prose(3, 30)])
