@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,8 +27,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
+_MAY_BE = re.compile("[0-9@]")
+_LETTERS = re.compile(r"[^\W\d_]")
 _TOKEN = re.compile(r"(?<!\S)\S+")
-#: An identifier, for the method: a token with a digit, of so many characters without the marks around it.
+#: An unknown identifier, for the method: a token with a digit or an @, of so many characters without the marks around it, or digits in the form of a card.
 SIZES = (6, 64)
 _MARKS = "\"'`(),;:<>[]{}#$&%*!?|=."
 
@@ -71,18 +74,57 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def _shape(token: str) -> str:
     """Digits by their number, letters by their case: what an identifier looks like."""
     shape = re.sub(r"[0-9]+", lambda m: f"9{{{len(m[0])}}}", token)
+    if not shape.isascii():
+        shape = _LETTERS.sub(lambda m: "A" if m[0].isupper() else "a", shape)
     return re.sub(r"(?<!\{)[a-z]+", "a", re.sub(r"[A-Z]+", "A", shape))
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, int | None]]:
-    """(start, end, instance, pattern, kind) twice for each identifier, with its left and its right word; kind: the base span's that it is."""
-    if not _DIGIT.search(text):
+    """(start, end, instance, pattern, kind) twice for each identifier, with its left and its right word; kind: the base span's that it is.
+
+    Base spans are identifiers as they stand, with what is inside; others that overlap one are left out.
+    """
+    if not _MAY_BE.search(text):
         return []
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-    kinds = {(start, end): kind for start, end, kind in base}
+    starts = [start for start, _ in tokens]
+    covered: list[list[int]] = []
+    for start, end, _ in base:
+        if covered and start < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    covered_ends = [end for _, end in covered]
     found = []
+
+    def free(start: int, end: int) -> bool:
+        i = bisect_right(covered_ends, start)
+        return i == len(covered) or covered[i][0] >= end
+
+    def add(start: int, end: int, left: str, right: str, kind: int | None) -> None:
+        core = text[start:end]
+        for side, word in (("<", left), (">", right)):
+            context = _DIGIT.sub("0", word[-32:] if side == "<" else word[:32]).lower()
+            found.append((start, end, core.lower(), f"{side} {context} {_shape(core)}", kind))
+
+    def add_within(start: int, end: int, kind: int | None) -> None:
+        """A span that need not be a token: what else its first and last token hold is a word, unless it is marks."""
+        i, j = max(0, bisect_right(starts, start) - 1), max(0, bisect_left(starts, end) - 1)
+        left = text[max(tokens[i][0], start - 4 * SIZES[1]) : start]
+        right = text[end : min(tokens[j][1], end + 4 * SIZES[1])]
+        if not left.strip(_MARKS) and not left.endswith("="):
+            left = text[tokens[i - 1][0] : tokens[i - 1][1]] if i else "^"
+        if not right.strip(_MARKS):
+            right = text[tokens[j + 1][0] : tokens[j + 1][1]] if j + 1 < len(tokens) else "$"
+        add(start, end, left, right, kind)
+
+    for start, end, kind in base:
+        add_within(start, end, kind)
+    for m in _CARD.finditer(text):
+        if " " in m[0] and 12 <= sum(c.isdigit() for c in m[0]) <= 19 and free(m.start(), m.end()):
+            add_within(m.start(), m.end(), None)
     for i, (start, end) in enumerate(tokens):
-        if end - start > 4 * SIZES[1] or not _DIGIT.search(text, start, end):
+        if end - start > 4 * SIZES[1] or not _MAY_BE.search(text, start, end):
             continue
         left = text[tokens[i - 1][0] : tokens[i - 1][1]] if i else "^"
         token = text[start:end]
@@ -92,13 +134,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         core = token.lstrip(_MARKS)
         start += len(token) - len(core)
         core = core.rstrip(_MARKS)
-        if not SIZES[0] <= len(core) <= SIZES[1]:
+        if not SIZES[0] <= len(core) <= SIZES[1] or not free(start, start + len(core)):
             continue
         right = text[tokens[i + 1][0] : tokens[i + 1][1]] if i + 1 < len(tokens) else "$"
-        kind = kinds.get((start, start + len(core)))
-        for side, word in (("<", left), (">", right)):
-            context = _DIGIT.sub("0", word[-32:] if side == "<" else word[:32]).lower()
-            found.append((start, start + len(core), core.lower(), f"{side} {context} {_shape(core)}", kind))
+        add(start, start + len(core), left, right, None)
     return found
 
 

@@ -381,6 +381,26 @@ def test_base_spans_and_patterns(spark):
     assert personal_data.find(odd(spark)).count() == odd(spark).count() and personal_data.find(empty(spark)).count() == 0
 
 
+def test_each_kind_is_found_beside_its_seeds(spark):
+    """Seeds with spaces inside and without digits; one more of each kind that the base expressions refuse."""
+    seeds = {
+        "email": [f"{a}@{b}.org" for a in ("anna", "bert", "carl", "dora") for b in ("mail", "post", "home")],
+        "ip": [f"10.20.{i}.7" for i in range(100, 112)],
+        "card": [n for i in range(1000, 1200) if personal_data._luhn((n := f"4111 1111 1111 {i}").replace(" ", ""))][:12],
+        "phone": [f"+1743555{i}" for i in range(3000, 3012)],
+    }
+    new = {"email": "emil@m\u00fcller.org", "ip": "10.20.300.7", "card": "4111 1111 1111 1112", "phone": "+17435559999 00000"}
+    texts = [f"stone write {k}-to {v} thanks" for k, vs in seeds.items() for v in vs]
+    texts += [f"stone write {k}-to {v} thanks" for k, v in new.items()]
+    texts += [f"call office +1 (743) 555-{i} today" for i in range(3000, 3004)]
+    found = {r["doc_id"]: r for r in personal_data.find(documents(spark, texts)).collect()}
+    for i, (kind, value) in enumerate(new.items(), 48):
+        start = texts[i].index(value)
+        assert found[i]["n_found"] == 1 and found[i]["spans"] == f"{kind}:{start}:{start + len(value.split(' 00000')[0])}", kind
+    assert all(found[i]["n_found"] == 0 for i in range(48))
+    assert {kind for *_, kind in personal_data.candidates(texts[-1], personal_data.base_spans(texts[-1]))} == {3}
+
+
 def test_rounds_find_unseen_instances(spark):
     rows = [("p1", f"seed{i}", 2) for i in range(20)] + [("p1", "new", None), ("p2", "new", None), ("p2", "rare", None), ("p3", "alone", None)]
     good = personal_data.good_patterns(spark.createDataFrame(rows, "pattern string, instance string, kind int")).collect()
