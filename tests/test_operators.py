@@ -2,7 +2,7 @@ import random
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from helpers import agents, comment_on_pull, frame, issue_event, pull_event
+from helpers import agents, comment_on_pull, frame, issue_event, pull_event, random_events
 from pyspark.sql import functions as F
 
 from issuetrail.operators import audit, issues, leaderboard, monthly, pulls, registration, resolution
@@ -211,24 +211,6 @@ def test_submission_reasons(spark):
     assert [tuple(r) for r in added] == [("N", "o", "new", "w", "active")]
 
 
-def random_events(seed):
-    rng = random.Random(seed)
-    events = []
-    for n in range(300):
-        number, day = rng.randint(1, 40), rng.randint(1, 28)
-        at = f"2024-0{rng.randint(1, 6)}-{day:02d}T{rng.randint(0, 23):02d}:00:00Z"
-        event_id = str(rng.randint(1, 10**6))
-        if rng.random() < 0.5:
-            closed = at if rng.random() < 0.6 else None
-            events.append(issue_event(number, "2023-11-05T00:00:00Z", closed=closed, at=at, event_id=event_id, labels=[rng.choice(["bug", "x"])]))
-        else:
-            make = rng.choice([pull_event, comment_on_pull])
-            # A third of the pull requests mention one hot issue.
-            target = 1 if rng.random() < 0.34 else number
-            events.append(make(rng.randint(1, 60), rng.choice(["a", "b", "human"]), merged=rng.choice([None, at]), body=f"#{target}", at=at, event_id=event_id))
-    return events
-
-
 def everything(spark, events):
     known = agents(spark, "a", "b")
     pair = mined(spark, events, known)

@@ -1,8 +1,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from helpers import agents, issue_event, pull_event, write_archive
-from test_operators import random_events
+from helpers import agents, issue_event, pull_event, random_events, write_archive
 
 from issuetrail.operators.resolution import resolved_issues
 from issuetrail.params import Params
