@@ -11,8 +11,11 @@ from issuetrail.llm import (
     mixing,
     near_dedup,
     personal_data,
+    prefix_trie,
+    ranked_search,
     toxicity,
     url_filter,
+    vector_search,
 )
 
 QUERIES = {
@@ -26,6 +29,17 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_decontamination": decontamination.query,
     "op10_line_dedup": line_dedup.query,
+    "op11_ranked_search": ranked_search.query,
+    "op12_prefix_trie": prefix_trie.query,
+    "op13_vector_search": vector_search.query,
 }
 
-ORACLES = {"op5_url_filter": url_filter.SQL, "op6_chat_format": chat_format.SQL, "op8_mixing": mixing.SQL, "op10_line_dedup": line_dedup.SQL}
+ORACLES = {
+    "op5_url_filter": url_filter.SQL,
+    "op6_chat_format": chat_format.SQL,
+    "op8_mixing": mixing.SQL,
+    "op10_line_dedup": line_dedup.SQL,
+    "op11_ranked_search": ranked_search.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
+    "op13_vector_search": vector_search.SQL,
+}
