@@ -45,11 +45,13 @@ def test_repeated_lines_go(stages):
     seen, expected = set(), {}
     for r in sorted(stages[1], key=lambda r: r["doc_id"]):
         lines, gone = r["text"].split("\n"), set()
-        for i in range(len(lines) - 1):
-            chunk = lines[i] + "\n" + lines[i + 1]
-            if len(chunk) >= 40:
-                gone |= {i, i + 1} if chunk in seen else set()
-                seen.add(chunk)
+        for i in range(len(lines)):
+            # every line of a longer run is in one of at most 41 lines
+            for j in range(i, min(i + 41, len(lines))):
+                run = "\n".join(lines[i : j + 1])
+                if len(run) >= (40 if j > i else 200):
+                    gone |= set(range(i, j + 1)) if run in seen else set()
+                    seen.add(run)
         expected[r["doc_id"]] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     assert {r["doc_id"]: r["text"] for r in stages[2]} == expected
     assert all(r["n_chars"] == len(r["text"]) for r in stages[2])

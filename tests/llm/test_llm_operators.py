@@ -164,12 +164,53 @@ def test_runs_of_short_lines_go_whole(spark):
     assert found[2] == mixed and found[3] == prose(8, 9) and found[4] == "x\ny\nz" and found[5] == "w\nx\ny\nz"
 
 
-def test_larger_chunks_only_take_what_repeats(spark):
-    shared = "\n".join(prose(200 + i, 12) for i in range(40))
-    frame = documents(spark, [shared, f"{prose(1, 12)}\n{shared}", prose(3, 30)])
-    found = {r["doc_id"]: r for r in line_dedup.remove_repeated(frame, divisor=3).collect()}
-    assert found[0]["removed_lines"] == 0 and 25 <= found[1]["removed_lines"] <= 40
-    assert set(found[1]["text"].split("\n")) <= set(f"{prose(1, 12)}\n{shared}".split("\n"))
+def without_repeated_runs(texts):
+    """Every run of lines against all before it."""
+    seen, cleaned = set(), []
+    for text in texts:
+        lines, gone = text.split("\n"), set()
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                run = "\n".join(lines[i : j + 1])
+                if len(run) >= (40 if j > i else 200):
+                    gone |= set(range(i, j + 1)) if run in seen else set()
+                    seen.add(run)
+        cleaned.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return cleaned
+
+
+@pytest.mark.parametrize("divisor", [1, 2, 5, 1000])
+def test_what_goes_does_not_depend_on_the_chunks(spark, divisor):
+    pick = random.Random(divisor)
+    lines = ["", "a", "bb"] + [prose(i, 1) for i in range(6)] + [prose(i, 4) for i in range(6)] + [prose(7, 60), prose(8, 80)]
+    shared = [[pick.choice(lines) for _ in range(n)] for n in (2, 3, 5, 9, 30)]
+    texts = []
+    for _ in range(60):
+        parts = [pick.choice(shared) if pick.random() < 0.4 else pick.choices(lines, k=pick.randint(1, 4)) for _ in range(pick.randint(1, 4))]
+        texts.append("\n".join(x for part in parts for x in part))
+    found = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeated(documents(spark, texts), divisor=divisor).collect()}
+    assert [found[i] for i in range(len(texts))] == without_repeated_runs(texts)
+
+
+def test_runs_that_were_not_repeated_together_stay(spark):
+    """Short pairs that overlap, each from another text, make a run that stands nowhere else; a long line goes alone, a shorter one doesn't."""
+    a, b, c, d = "first line here", "second line", "third line", "fourth line"
+    texts = [f"{a}\n{b}", f"{b}\n{c}", f"{c}\n{d}", "\n".join([prose(1, 9), a, b, c, d, prose(2, 9)])]
+    long, short = "x" * 400, "y" * 150
+    texts += [f"{prose(i, 9)}\n{long}\n{short}{i}" for i in range(3)] + [f"{prose(10 + i, 9)}\n{short}\n{prose(20 + i, 9)}" for i in range(2)]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeated(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(5)] == texts[:5] and [found[i] for i in (7, 8)] == texts[7:]
+    assert found[5] == texts[5].replace(f"{long}\n", "") and found[6] == texts[6].replace(f"{long}\n", "")
+
+
+def test_runs_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    """With a hash that knows widths only for the first seed, all is done again with another."""
+    whole = line_dedup.profile
+    blind = F.udf(lambda hashes: b"\0" * len(hashes), "binary")
+    monkeypatch.setattr(line_dedup, "profile", lambda rows, seed: whole(rows, seed) if seed else whole(rows, seed).withColumn("hashes", blind("hashes")))
+    texts = [f"{prose(1, 9)}\n{prose(2, 9)}", f"{prose(1, 9)[::-1]}\n{prose(2, 9)[::-1]}", f"{prose(1, 9)}\n{prose(2, 9)}"]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeated(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(3)] == [texts[0], texts[1], ""]
 
 
 # Mixing -------------------------------------------------------------------------------------------------
