@@ -10,16 +10,17 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import MOST, pieces, table
+from issuetrail.llm.common import MOST, pieces, table, written
 
-#: Bytes of a seed at most, and the size from which items may be met with edits.
-SEED, LONG = 16, 32
+#: Bytes of a seed at most.
+SEED = 16
 #: Bytes of a part of an item at most: the walks of longer ones drift too far apart.
 PART = 200
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -125,9 +126,10 @@ class Block:
         self.texts = [folded(t) for _, t in items]
         self.share = share
         self.sizes = np.array([len(t) for t in self.texts])
-        self.short = [k for k, t in enumerate(self.texts) if len(t) < LONG]
+        # items too short for an edit within the share
+        self.short = [k for k, t in enumerate(self.texts) if int(share * len(t)) < 1]
         # (item, start, stop)
-        self.parts = [(k, start, stop) for k, t in enumerate(self.texts) if len(t) >= LONG for start, stop in parts_of(len(t))]
+        self.parts = [(k, start, stop) for k, t in enumerate(self.texts) if int(share * len(t)) >= 1 for start, stop in parts_of(len(t))]
         self.part_sizes = np.array([stop - start for _, start, stop in self.parts], np.int64)
         self.seed = seed_size(self.part_sizes.tolist(), share)
         found = [(s, p, at) for p, (k, start, stop) in enumerate(self.parts) for at, s in enumerate(seeds(self.texts[k][start:stop], self.seed).tolist())]
@@ -218,30 +220,39 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = 0.05
 
     A text holds an item if a substring of it is at most `share` of the item's bytes away in edits, letter case (A-Z) and kinds of white space aside. Items are cut
     into parts of up to PART bytes, and windows of a part's size are looked at wherever a seed of it stands; the sampled walks then find those near
-    a part with the given recall, at any length of the item, and an exact check of the whole item settles each. Items of under 32 bytes must occur exactly; null or empty ones never do. A null text holds none. Items are sent out in
-    blocks of `block_chars`, one pass over the documents for each block, so a benchmark of any size has a bounded part in memory. Repeated items
-    and rows do no harm; a column `benchmark_items` is replaced; empty tables give no rows, or no items.
+    a part with the given recall, at any length of the item, and an exact check of the whole item settles each. Items so short that the share leaves no edit (under 20 bytes at 0.05) must occur exactly; those of a null or empty
+    text never do; one without an item_id counts, as a null among the ids. A null text holds none. Items are sent out in blocks of `block_chars`, one pass over the
+    documents for each block; two blocks at most are in the driver's memory. Repeated items and rows do no harm; a column `benchmark_items` is replaced; empty tables give no rows, or no items.
     """
-    blocks: list[list[tuple[int, str]]] = [[]]
-    held = 0
-    items = benchmark.where("text is not null and text <> '' and item_id is not null").select(F.col("item_id").cast("long"), "text").distinct()
-    for item_id, text in items.orderBy("item_id", "text").toLocalIterator():
-        if held and held + len(text) > block_chars:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((item_id, text))
-        held += len(text)
+    items = benchmark.where("text is not null and text <> ''").select(F.coalesce(F.col("item_id").cast("long"), F.lit(MOST)).alias("item_id"), "text").distinct()
+    blocks = _blocks(items, block_chars)
+    first, second = next(blocks, []), next(blocks, None)
     kept = [c for c in documents.columns if c != "benchmark_items"]
     text = F.coalesce("text", F.lit(""))
-    if len(blocks) == 1:
-        return documents.select(*kept, _meeting(documents, blocks[0], share, recall)(text).alias("benchmark_items"))
+    named = lambda ids: F.transform(ids, lambda i: F.when(i != MOST, i)).alias("benchmark_items")
+    if second is None:
+        met = documents.select(*kept, _meeting(documents, first, share, recall)(text).alias("_cgk_items"))
+        return met.select(*kept, named(F.col("_cgk_items")))
     # each block in tasks of its own, which hold no other; only hits are joined
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(MOST)).alias("_cgk_node"), F.xxhash64("text").alias("_cgk_version")]
-    hits = [documents.select(*key, F.explode(_meeting(documents, block, share, recall)(text)).alias("_cgk_item")) for block in blocks]
+    hits = [written(documents.select(*key, F.explode(_meeting(documents, block, share, recall)(text)).alias("_cgk_item"))) for block in chain([first, second], blocks)]
     names = ["_cgk_node", "_cgk_version"]
-    found = reduce(DataFrame.union, hits).groupBy(*names).agg(F.array_sort(F.collect_set("_cgk_item")).alias("_cgk_items"))
+    found = written(reduce(DataFrame.union, hits).groupBy(*names).agg(F.array_sort(F.collect_set("_cgk_item")).alias("_cgk_items")))
     tagged = documents.select("*", *key).join(found, names, "left")
-    return tagged.select(*kept, F.coalesce("_cgk_items", F.array().cast("array<bigint>")).alias("benchmark_items"))
+    return tagged.select(*kept, named(F.coalesce("_cgk_items", F.array().cast("array<bigint>"))))
+
+
+def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+    block: list[tuple[int, str]] = []
+    held = 0
+    for item_id, text in items.orderBy("item_id", "text").toLocalIterator():
+        if block and held + len(text) > block_chars:
+            yield block
+            block, held = [], 0
+        block.append((item_id, text))
+        held += len(text)
+    if block:
+        yield block
 
 
 def _meeting(documents: DataFrame, block: list[tuple[int, str]], share: float, recall: float):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from issuetrail.llm.common import LEAST, ascii_lower, checkpointed, table, words
+from issuetrail.llm.common import LEAST, ascii_lower, checkpointed, table, words, written
 
 #: Two counters of 32 bits in one long: bits i and i + 32 of a hash are counted by one sum.
 _PAIR = (1 << 32) | 1
@@ -135,37 +135,39 @@ def fingerprint_edits(documents: DataFrame, radius: int = 3) -> DataFrame:
     """Fingerprints of documents (doc_id, text), of their edited texts, and how alike these and the neighbours are.
 
     The edited text has the last floor(n/2) code points replaced by the first as many (or all) of the next document by descending id.
-    `near_texts` counts the other fingerprints of documents within `radius` bits. A null text is empty. Of rows that share an id the longest text
-    counts (among these, the one of the greatest hash), once; a null id is one document that comes last. Other columns are
-    ignored; an empty table gives no rows.
+    `near_texts` counts the other fingerprints of documents within `radius` bits. A null text is empty. Each row has its result, also rows that share an id; as the
+    next document of another, the longest text of an id stands (among these, the one of the greatest hash). Rows without an id come last and
+    count as one id in this. Other columns are ignored; an empty table gives no rows.
     """
-    # n and 32 bits of the text's hash in one number, so that the choice among equal ids is a plain maximum
-    version = F.shiftleft(F.char_length("text").cast("long"), 32).bitwiseOR(F.xxhash64("text").bitwiseAND(F.lit(_LOW)))
     docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("v", version)
-    chosen = checkpointed(following(docs.groupBy("k").agg(F.max("v").alias("v"))))
-    # The texts are shuffled once: both joins use the same exchange.
-    placed = docs.repartition("k")
-    half = F.floor(F.shiftright("v", 32) / 2).cast("int")
-    wants = chosen.select(F.col("next_k").alias("k"), F.col("next_v").alias("v"), F.col("k").alias("to_k"), F.col("v").alias("to_v"), half.alias("half"))
-    heads = placed.join(wants, ["k", "v"]).select(F.col("to_k").alias("k"), F.col("to_v").alias("v"), F.expr("left(text, half)").alias("head"))
+    docs = docs.withColumns({"n": F.char_length("text").cast("long"), "h": F.xxhash64("text")})
+    rows = checkpointed(docs.groupBy("k", "n", "h").agg(F.count("*").alias("times")))
+    chosen = following(rows.groupBy("k").agg(F.max(F.struct("n", "h")).alias("v")))
+    chosen = written(chosen.select("k", "next_k", F.col("next_v.h").alias("next_h")))
+    # The texts are shuffled once: both joins ask for the same exchange, of which a hot key can be split.
+    placed = docs.drop("n")
+    wants = written(rows.join(chosen, "k").select(F.col("next_k").alias("k"), F.col("next_h").alias("h"), F.col("k").alias("to_k"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("half")))
+    # a text is there once for each of its rows
+    heads = placed.join(wants, ["k", "h"]).groupBy(F.col("to_k").alias("k"), F.col("to_h").alias("h")).agg(F.max(F.expr("left(text, half)")).alias("head"))
     n = F.char_length("text")
     kept = F.expr("left(text, char_length(text) - char_length(text) div 2)")
-    both = placed.join(heads, ["k", "v"]).select("k", "v", n.cast("long").alias("n"), "text", F.concat(kept, "head").alias("edited"))
+    both = placed.join(heads, ["k", "h"]).select("k", "h", n.cast("long").alias("n"), "text", F.concat(kept, "head").alias("edited"))
     both = both.withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
-    sides = both.select("k", "v", "n", "sha", F.posexplode(F.array("text", "edited")).alias("side", "text"))
-    # the join has dealt texts out by k and v, so these sums need no shuffle
-    prints = fingerprint_texts(sides, ["k", "v", "n", "sha", "side"])
-    prints = prints.groupBy("k", "v", "n", "sha").agg(
+    sides = both.select("k", "h", "n", "sha", F.posexplode(F.array("text", "edited")).alias("side", "text"))
+    # the join has dealt texts out by k and h, so these sums need no shuffle
+    prints = fingerprint_texts(sides, ["k", "h", "n", "sha", "side"])
+    prints = prints.groupBy("k", "h", "n", "sha").agg(
         *[F.max(F.when(F.col("side") == side, F.col(f"word_{i}"))).alias(f"{name}_{i}") for side, name in enumerate(("own", "edited")) for i in (0, 1)]
     )
     prints = checkpointed(prints)
     pair = lambda name: [F.col(f"{name}_{i}") for i in (0, 1)]
-    after = prints.select(F.col("k").alias("next_k"), F.col("own_0").alias("next_0"), F.col("own_1").alias("next_1"))
+    after = prints.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("own_0").alias("next_0"), F.col("own_1").alias("next_1"))
+    after = written(chosen.join(after, ["next_k", "next_h"]).select("k", "next_0", "next_1"))
     near = near_pairs(prints.select("own_0", "own_1").distinct(), ["own_0", "own_1"], radius)
     ends = [near.select(F.col(f"{x}_own_0").alias("own_0"), F.col(f"{x}_own_1").alias("own_1")) for x in "ab"]
-    links = ends[0].union(ends[1]).groupBy("own_0", "own_1").agg(F.count("*").alias("near"))
-    found = prints.join(chosen.select("k", "next_k"), "k").join(after, "next_k").join(links, ["own_0", "own_1"], "left")
+    links = written(ends[0].union(ends[1]).groupBy("own_0", "own_1").agg(F.count("*").alias("near")))
+    found = prints.join(after, "k").join(rows.select("k", "h", "times"), ["k", "h"]).join(links, ["own_0", "own_1"], "left")
+    found = found.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     return found.select(
         F.when(F.col("k") != LEAST, F.col("k")).alias("doc_id"),
         F.col("n").alias("n_chars"),

@@ -10,6 +10,8 @@ from issuetrail.llm.common import checkpointed, table
 #: Shares of the mixture; sources that are not named share what is left in proportion to their rows.
 TARGETS = {"src0": 0.15, "src1": 0.10, "src2": 0.10}
 SEED = "mix-1"
+#: The greatest mean of a single draw.
+MOST_RATE = 600
 
 
 def uniform(*parts: Column) -> Column:
@@ -50,21 +52,23 @@ def replicate(documents: DataFrame, targets: dict[str, float], seed: str = SEED,
 
     The mean of the draw is the source's target share over its actual one. The draw inverts the distribution at a number hashed from seed and
     doc_id, so runs and retries agree, and the same id (also null, or of repeated rows) draws the same. A null source is a source of its own,
-    like any that is not named; an empty table gives no rows; other columns are kept, a column `copy` is replaced. Rates over 600 are
-    refused: their distribution starts below what a double can hold, and no mixture repeats a text so often. The steps of all sources are sent to every task while they have at most
-    `most_sent` bytes; beyond, they meet the documents by shuffle.
+    like any that is not named; an empty table gives no rows; other columns are kept, a column `copy` is replaced. Above MOST_RATE a distribution would start
+    below what a double can hold: such a rate is split evenly among as many draws as it needs, of which the sum is Poisson too, each with a number of its
+    own. The steps of all sources are sent to every task while they have at most `most_sent` bytes; beyond, they meet the documents by shuffle.
     """
     prefix = "_mix_"
     drawn = checkpointed(rates(documents, targets))
-    steps = F.when(F.col("rate") <= 600, poisson_steps(F.col("rate"))).otherwise(F.raise_error(F.lit("a source would be repeated over 600 times")))
-    steps = drawn.select(F.col("source").alias(f"{prefix}source"), steps.alias(f"{prefix}steps"))
+    draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_RATE)).cast("int")
+    steps = drawn.select(F.col("source").alias(f"{prefix}source"), poisson_steps(F.col("rate") / draws).alias(f"{prefix}steps"), draws.alias(f"{prefix}draws"))
     # a row is a name and at most a thousand steps; beyond so many sources the join shuffles
-    if drawn.agg(F.coalesce(F.sum(F.octet_length("source") + 8 * F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30)), F.lit(0))).first()[0] <= most_sent:
+    if drawn.agg(F.coalesce(F.sum(F.octet_length("source") + 8 * (F.least("rate", F.lit(MOST_RATE)) * 2 + 60)), F.lit(0))).first()[0] <= most_sent:
         steps = F.broadcast(steps)
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    u = uniform(F.lit(seed), id_text)
-    met = documents.withColumn(f"{prefix}u", u).join(steps, F.col("source").eqNullSafe(F.col(f"{prefix}source")))
-    times = F.size(F.filter(f"{prefix}steps", lambda step: step < F.col(f"{prefix}u")))
+    met = documents.join(steps, F.col("source").eqNullSafe(F.col(f"{prefix}source")))
+    below = lambda u: F.size(F.filter(f"{prefix}steps", lambda step: step < u)).cast("long")
+    further = F.transform(F.sequence(F.lit(2), f"{prefix}draws"), lambda i: uniform(F.lit(seed), id_text, i.cast("string")))
+    further = F.when(F.col(f"{prefix}draws") > 1, F.aggregate(further, F.lit(0).cast("long"), lambda n, u: n + below(u))).otherwise(F.lit(0))
+    times = below(uniform(F.lit(seed), id_text)) + further
     kept = [c for c in documents.columns if c != "copy"]
     copies = met.withColumn(f"{prefix}n", times).where(F.col(f"{prefix}n") > 0).select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{prefix}n").cast("long"))).alias("copy"))
     return copies.orderBy(F.xxhash64(F.lit(seed), "doc_id", "copy"), "doc_id", "copy")

@@ -68,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         for m in _PHONE.finditer(text):
             if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
                 found.append((m.start(), m.end(), 3))
-    return sorted(found)
+    return sorted(found, key=lambda span: (span[0], span[2]))
 
 
 def _shape(token: str) -> str:
@@ -188,7 +188,8 @@ def find(documents: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found) for each row of documents (doc_id, text), whole texts.
 
     Counts and digest are of the base spans; spans has these and what the patterns found beside them (n_found), which never overlaps them. Spans
-    are kind:start:end by start, then kind, comma-joined, in code points. A null text is empty and has none; a null id stays; repeated rows are
+    are kind:start:end by start, then kind, comma-joined, in code points. What the method may find is an identifier of 6 to 64 characters, without the marks
+    around it, in a token of up to 256, or digits in the form of a card; of the words beside it the 32 characters nearest to it make the pattern. A null text is empty and has none; a null id stays; repeated rows are
     repeated in the result but count once as instances; other columns are ignored; an empty table gives no rows.
     """
     rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -1,11 +1,13 @@
 """The operators against brute force, exact round trips or held-out accuracy, with nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from issuetrail.llm import chat_format, components, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, personal_data, toxicity, url_filter
@@ -40,22 +42,48 @@ def empty(spark):
 # Fingerprints -------------------------------------------------------------------------------------------
 
 
+def weighted_votes(text):
+    """128 bits, each pair of words voting with its length."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text))
+    pairs = [" ".join(words[i : i + 2]) for i in range(max(1, len(words) - 1))] if words else []
+    signed = lambda term, seed: xxhash.xxh64_intdigest(term, seed=seed)
+    total, found = sum(map(len, pairs)), ""
+    for second in (False, True):
+        bits = [0] * 64
+        for term in pairs:
+            value = signed(term, 42)
+            # the second word hashes an integer 1 with the first as its seed
+            value = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), seed=value) if second else value
+            for bit in range(64):
+                bits[bit] += (value >> bit & 1) * len(term)
+        found += f"{sum(1 << bit for bit in range(64) if 2 * bits[bit] > total):016x}"
+    return found
+
+
+def cosine(a, b):
+    return max(0.0, math.cos(math.pi * (int(a, 16) ^ int(b, 16)).bit_count() / 128))
+
+
 def test_edits_and_equal_texts(spark):
     found = fingerprints.fingerprint_edits(odd(spark)).collect()
     texts = {}
     for r in odd(spark).collect():
         key = -(2**63) if r["doc_id"] is None else r["doc_id"]
         texts.setdefault(key, []).append(r["text"] or "")
-    texts = {k: max(v, key=len) for k, v in texts.items()}
+    longest = {k: max(v, key=len) for k, v in texts.items()}
     order = sorted(texts, reverse=True)
-    assert len(found) == len(texts)
-    for r in found:
-        key = -(2**63) if r["doc_id"] is None else r["doc_id"]
-        text, following = texts[key], texts[order[(order.index(key) + 1) % len(order)]]
-        half = len(text) // 2
-        assert r["n_chars"] == len(text)
-        assert r["edited_sha256"] == hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()
-        assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
+    assert len(found) == odd(spark).count()
+    expected = []
+    for key, of_id in texts.items():
+        after = longest[order[(order.index(key) + 1) % len(order)]]
+        for text in of_id:
+            half = len(text) // 2
+            changed = text[: len(text) - half] + after[:half]
+            own, other = weighted_votes(text), weighted_votes(changed)
+            near = round(cosine(own, other), 9), round(cosine(own, weighted_votes(after)), 9)
+            expected.append((None if key == -(2**63) else key, len(text), hashlib.sha256(changed.encode()).hexdigest(), own, other, *near))
+    rows = [(*r[:5], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in found]
+    assert sorted(rows, key=repr) == sorted(expected, key=repr)
     by_id = {r["doc_id"]: r for r in found}
     assert by_id[0]["fingerprint"] == by_id[6]["fingerprint"] != by_id[4]["fingerprint"]
     assert by_id[1]["fingerprint"] == "0" * 32
@@ -235,6 +263,15 @@ def test_steps_are_the_poisson_distribution(spark, rate):
     assert abs(pmf.sum() - 1) < 1e-9 and abs((pmf * np.arange(len(pmf))).sum() - rate) < 1e-6 * rate
 
 
+def test_rare_sources_are_drawn_in_parts(spark):
+    """One row at a rate of 700 and one at 2,100."""
+    rows = [(i, "x", "src0" if i == 7 else "src1" if i == 8 else "other", 1, "w", "h", 1) for i in range(7000)]
+    frame = spark.createDataFrame(rows, DOCS)
+    counts = {r["source"]: r["count"] for r in mixing.replicate(frame, {"src0": 0.1, "src1": 0.3}).groupBy("source").count().collect()}
+    assert abs(counts["src0"] - 700) < 5 * 700**0.5 and abs(counts["src1"] - 2100) < 5 * 2100**0.5
+    assert {r["source"]: r["count"] for r in mixing.replicate(frame, {"src0": 0.1, "src1": 0.3}, most_sent=0).groupBy("source").count().collect()} == counts
+
+
 # Decontamination ----------------------------------------------------------------------------------------
 
 
@@ -304,6 +341,21 @@ def test_short_items_with_edits_are_found(spark):
     assert sum(r["doc_id"] in r["benchmark_items"] for r in found) >= 29
 
 
+@pytest.mark.parametrize("size", [20, 28])
+def test_one_edit_in_a_short_item_is_found(spark, size):
+    pick = random.Random(size)
+    items = ["".join(pick.choice("abcdefghijklmnop ") for _ in range(size)) for _ in range(60)]
+    cuts = [pick.randrange(1, size - 1) for _ in items]
+    texts = [f"{prose(i, 30)} {t[:at]}{['#', '', t[at] + '#'][i % 3]}{t[at + 1 :]} {prose(i + 90, 30)}" for i, (t, at) in enumerate(zip(items, cuts, strict=True))]
+    # half of the items have no id
+    benchmark = spark.createDataFrame([(i if i % 2 else None, t) for i, t in enumerate(items)], "item_id long, text string")
+    frame = documents(spark, [*texts, prose(900, 40)])
+    found = {r["doc_id"]: r["benchmark_items"] for r in decontamination.contaminated(frame, benchmark).collect()}
+    assert sum((i if i % 2 else None) in found[i] for i in range(60)) >= 58 and not found[60]
+    split = decontamination.contaminated(frame, benchmark, block_chars=20 * size).collect()
+    assert {r["doc_id"]: set(r["benchmark_items"]) for r in split} == {i: set(ids) for i, ids in found.items()}
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_holds_is_the_edit_distance_to_a_substring(seed):
     pick = random.Random(seed)
@@ -411,6 +463,40 @@ def test_base_is_exact_and_all_rows_stay(spark):
 # PII, URLs, chat ----------------------------------------------------------------------------------------
 
 
+def spans_plainly(text):
+    """The contract's expressions as they are written."""
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[ -]", "", m[0])
+        if 12 <= len(digits) <= 19 and sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0:
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return [(kind, start, end) for start, kind, end in sorted(found)]
+
+
+def test_base_spans_are_those_of_the_expressions(spark):
+    pick = random.Random(9)
+    parts = ["1.2.3.4", "@", "x.org", ".", "4111 1111 1111 1111", "+1 (743) 555-3824", "+4111111111111111", "a-b", "256", " ", "\n", "é", "%", "-", "0", "10.20.30.40.50", "a@b.c"]
+    texts = ["1.2.3.4@x.org", "4111111111111111@x.org", "4111.1.1.1@x.org 4111 1111 1111 1111", "+14111111111111111"]
+    texts += ["".join(pick.choices(parts, k=pick.randint(1, 12))) for _ in range(400)]
+    names = personal_data.KINDS
+    expected = {i: ",".join(f"{names[k]}:{s}:{e}" for k, s, e in spans_plainly(t)) for i, t in enumerate(texts)}
+    found = personal_data.find(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["base_sha256"] for r in found} == {i: hashlib.sha256(x.encode()).hexdigest() for i, x in expected.items()}
+    # what the method finds comes besides, in the same order
+    for r in found:
+        spans = [x for x in r["spans"].split(",") if x]
+        assert len(spans) - r["n_found"] == len([x for x in expected[r["doc_id"]].split(",") if x])
+        assert r["n_found"] or r["spans"] == expected[r["doc_id"]]
+
+
 def test_base_spans_and_patterns(spark):
     base = personal_data.base_spans("x a.b@c.de_f@g.hi 1.2.3.4 256.1.1.1, 4111 1111 1111 1111, +1 (234) 555-0000")
     assert [k for _, _, k in base] == [0, 0, 1, 2, 3]
