@@ -13,9 +13,11 @@ def label_names(raw: Column) -> Column:
     """Names of the objects in a JSON array, lower-cased; an empty array for anything else.
 
     The elements are read as text, because a typed read gives NULL for the whole array as soon
-    as one element is not an object, and wraps a lone object into an array.
+    as one element is not an object, and wraps a lone object into an array. The array is read as a field with another
+    after it, which is met only if nothing follows the array.
     """
-    elements = F.from_json(raw, "array<string>")
+    read = F.from_json(F.concat(F.lit('{"labels":'), raw, F.lit(',"ended":true}')), "labels array<string>, ended boolean")
+    elements = F.when(read["ended"], read["labels"])
     objects = F.filter(elements, lambda e: e.rlike(r"^\s*\{"))
     names = F.transform(objects, lambda e: F.lower(F.coalesce(F.get_json_object(e, "$.name"), F.lit(""))))
     none = F.array().cast("array<string>")

@@ -15,6 +15,11 @@ def decoded_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def file_name(path: Column) -> Column:
+    """Plain form of a metadata path, the same for every format: with one slash after the scheme where no host is named, as some write three."""
+    return F.regexp_replace(decoded_path(path), "^([a-z0-9]+):///", "$1:/")
+
+
 def archive_date(path: Column) -> Column:
     return F.try_to_date(F.nullif(F.regexp_extract(path, _HOUR_STAMP, 1), F.lit("")), "yyyy-MM-dd")
 

@@ -38,6 +38,12 @@ def missing_days(spark: SparkSession, present: DataFrame, first: date, last: dat
     return days.join(seen, "archive_date", "left_anti")
 
 
+def empty_hours(inventory: DataFrame) -> DataFrame:
+    """Hours that have files, all of them empty; inventory: of ``archive.file_inventory``. They are no missing hours, whose files never came."""
+    sized = inventory.where(F.col("archive_date").isNotNull()).groupBy("archive_date", "archive_hour").agg(F.max("bytes").alias("most"))
+    return sized.where(F.col("most") == 0).select("archive_date", "archive_hour")
+
+
 def within_window(events: DataFrame, params: Params) -> DataFrame:
     """Events of the archive days from the window's first to its last, both included."""
     return events.where(F.col("archive_date").between(F.lit(params.start.date()), F.lit(params.end.date())))

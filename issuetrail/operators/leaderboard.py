@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from issuetrail.functions.text import issue_link, number_or_zero
 from issuetrail.functions.labels import joined_labels
 from issuetrail.functions.timestamps import instant_of, whole_days
+from issuetrail.operators.ranking import numbered
 from issuetrail.params import Params
 
 # What stands in for a missing name or website.
@@ -31,7 +32,7 @@ def leaderboard(agents: DataFrame, resolved: DataFrame) -> DataFrame:
 
 
 def leaderboard_view(board: DataFrame, low: float | None = None, high: float | None = None, term: str | None = None) -> DataFrame:
-    """Ranked display rows: non-zero agents, and optionally a count range with both ends and a search term."""
+    """Ranked display rows: non-zero agents, and optionally a count range with both ends and a search term. `rank` numbers what is shown."""
     shown = board.select(
         F.coalesce("name", F.lit(UNKNOWN_NAME)).alias("Agent Name"),
         F.coalesce("website", F.lit(NO_WEBSITE)).alias("Website"),
@@ -47,13 +48,14 @@ def leaderboard_view(board: DataFrame, low: float | None = None, high: float | N
         shown = shown.where(
             F.lower("Agent Name").contains(needle) | F.lower("Website").contains(needle)
         )
-    return shown.orderBy(F.desc("Resolved Issues"), F.asc("github_identifier")).drop("github_identifier")
+    ranked = numbered(shown, [F.desc("Resolved Issues"), F.asc("github_identifier")])
+    return ranked.drop("github_identifier").orderBy("rank")
 
 
 def wanted_view(wanted: DataFrame, params: Params) -> DataFrame:
-    """Display rows of the wanted list, oldest first. An unreadable creation time shows as age zero."""
+    """Display rows of the wanted list, numbered, oldest first. An unreadable creation time shows as age zero."""
     age = F.coalesce(whole_days(instant_of(F.col("created_at")), params.end_column), F.lit(0)).cast("bigint")
-    return (
+    shown = (
         wanted.select(
             F.coalesce("title", F.lit("")).alias("Title"),
             issue_link(F.col("url"), F.col("repo"), F.col("number")).alias("URL"),
@@ -62,5 +64,5 @@ def wanted_view(wanted: DataFrame, params: Params) -> DataFrame:
             F.col("url").alias("issue_url"),
             F.concat(F.coalesce("repo", F.lit("")), F.lit("#"), F.coalesce("number", F.lit(""))).alias("issue_name"),
         )
-        .orderBy(F.desc("Age (days)"), F.asc("issue_url"))
     )
+    return numbered(shown, [F.desc("Age (days)"), F.asc("issue_url")]).orderBy("rank")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import date
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from issuetrail.operators.audit import run_parameters
 from issuetrail.operators.issues import issue_snapshots, issue_state, latest_issues, merge_issue_state
 from issuetrail.operators.leaderboard import leaderboard
-from issuetrail.operators.monthly import monthly_counts, monthly_grid
+from issuetrail.operators.monthly import kept_counts, monthly_counts, monthly_grid
 from issuetrail.operators.pulls import (
     curated_links,
     issue_links,
@@ -22,10 +23,10 @@ from issuetrail.operators.pulls import (
 from issuetrail.operators.registration import active_agents, matching_agents
 from issuetrail.operators.resolution import agent_merges, candidate_links, issue_resolution, resolved_issues, wanted_issues
 from issuetrail.params import Params
-from issuetrail.sources.archive import scan_archive
-from issuetrail.sources.curated import read_curated, write_curated
+from issuetrail.sources.curated import read_curated
+from issuetrail.sources.ledger import parse_new_files, read_parsed
 from issuetrail.sources.registry import read_registry_files
-from issuetrail.sources.results import Results, write_documents, write_results
+from issuetrail.sources.results import Results, write_document, write_results
 from issuetrail.sources.session import use_utc
 
 
@@ -47,10 +48,12 @@ def mine_events(events: DataFrame, params: Params) -> Mined:
     return Mined(latest_issues(events, params), pull_facts(events), issue_links(events))
 
 
-def mine_curated(spark: SparkSession, folder: str, first: date | None = None, last: date | None = None) -> Mined:
-    """From the curated table: each relation reads only its own kind, days and columns."""
-    issues = read_curated(spark, folder, "issue", first, last)
-    pulls = read_curated(spark, folder, "pull", first, last)
+def mine_curated(
+    spark: SparkSession, folder: str, first: date | None = None, last: date | None = None, read: Callable[..., DataFrame] = read_curated
+) -> Mined:
+    """From the curated table, or with ``read_parsed`` from that of a ledger: each relation reads only its own kind, days and columns."""
+    issues = read(spark, folder, "issue", first, last)
+    pulls = read(spark, folder, "pull", first, last)
     return Mined(
         issue_snapshots(merge_issue_state(issue_state(issues))),
         pull_facts_of(merge_pull_state(pull_state(pulls))),
@@ -75,7 +78,7 @@ def results_of(mined: Mined, agents: DataFrame, params: Params, keep_in: str | N
         resolved = _kept(resolved, f"{keep_in}/resolved")
     return Results(
         leaderboard=leaderboard(agents, resolved),
-        monthly=monthly_grid(monthly_counts(resolved, agents), params),
+        monthly=monthly_grid(kept_counts(monthly_counts(resolved, agents)), params),
         wanted=wanted_issues(issues, resolution, params),
         run=run_parameters(spark, params),
     )
@@ -86,21 +89,19 @@ def _kept(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def run(
-    spark: SparkSession, archive: str, registry: str, output: str, params: Params, document_shards: int = 1
-) -> Results:
-    """Mines an archive for the registered agents and writes result tables and documents under ``output``.
+def run(spark: SparkSession, archive: str, registry: str, output: str, params: Params) -> Results:
+    """Mines an archive for the registered agents and writes result tables and a document under ``output``.
 
-    ``document_shards``: how many documents share the result; see ``results.documents``.
+    Archive files that an earlier run with this output has parsed are not opened again; see ``sources.ledger``.
     """
     use_utc(spark)
     agents = active_agents(read_registry_files(spark, registry))
     if matching_agents(agents).isEmpty():
         raise ValueError(f"no active agents in {registry}")
-    scanned = scan_archive(spark, archive, first=params.start.date(), last=params.end.date())
-    write_curated(scanned, params, f"{output}/curated")
-    mined = mine_curated(spark, f"{output}/curated", params.start.date(), params.end.date())
+    first, last = params.start.date(), params.end.date()
+    parse_new_files(spark, archive, output, params, first, last)
+    mined = mine_curated(spark, output, first, last, read=read_parsed)
     results = results_of(mined, agents, params, keep_in=f"{output}/kept")
     write_results(results, f"{output}/results")
-    write_documents(results, f"{output}/documents", document_shards)
+    write_document(results, f"{output}/document")
     return results

@@ -234,17 +234,17 @@ ORACLES: dict[str, str] = {
     "resolved_counts": f"{_PIPELINE} SELECT agent, count(*) AS resolved_issues FROM resolved GROUP BY ALL",
     "leaderboard": _LEADERBOARD,
     "leaderboard_view": f"""{_PIPELINE}, {_BOARD}
-        SELECT name AS "Agent Name", website AS "Website", resolved_issues AS "Resolved Issues" FROM board
+        SELECT CAST(row_number() OVER (ORDER BY resolved_issues DESC, github_identifier) AS BIGINT) AS rank, name AS "Agent Name", website AS "Website", resolved_issues AS "Resolved Issues" FROM board
         WHERE resolved_issues <> 0
         ORDER BY resolved_issues DESC, github_identifier""",
     "leaderboard_search": f"""{_PIPELINE}, {_BOARD}
-        SELECT name AS "Agent Name", website AS "Website", resolved_issues AS "Resolved Issues" FROM board
+        SELECT CAST(row_number() OVER (ORDER BY resolved_issues DESC, github_identifier) AS BIGINT) AS rank, name AS "Agent Name", website AS "Website", resolved_issues AS "Resolved Issues" FROM board
         WHERE resolved_issues <> 0 AND resolved_issues BETWEEN 2 AND 500
           AND (name ILIKE '%supplier#000000006%' OR website ILIKE '%supplier#000000006%')
         ORDER BY resolved_issues DESC, github_identifier""",
     "windowed_leaderboard": _WINDOWED,
     "wanted_view": f"""{_PIPELINE}
-        SELECT title AS "Title",
+        SELECT CAST(row_number() OVER (ORDER BY {_days('created', _AS_OF)} DESC, url) AS BIGINT) AS rank, title AS "Title",
                '<a href="' || url || '" target="_blank">' || repo || '#' || number || '</a>' AS "URL",
                {_days('created', _AS_OF)} AS "Age (days)", labels AS "Labels", url AS issue_url, repo || '#' || number AS issue_name
         FROM wanted ORDER BY "Age (days)" DESC, url""",
@@ -330,5 +330,24 @@ ORACLES: dict[str, str] = {
     "incremental_leaderboard": _LEADERBOARD,
     "incremental_windowed_leaderboard": _WINDOWED,
     "document_roundtrip": _PART_ROWS,
+    "single_document_roundtrip": _PART_ROWS,
+    "ledger_leaderboard": _LEADERBOARD,
+    "maintained_leaderboard": _LEADERBOARD,
+    "damaged_leaderboard": f"{_PIPELINE}, {_BOARD} SELECT *, CAST(1 AS BIGINT) AS dead_letters FROM board",
+    "payload_fields": f"""{_with(_ISSUE_EVENT, _PULL_EVENT)}
+        SELECT type, CAST(NULL AS VARCHAR) AS author, count(*) AS events, count(*) AS titled FROM issue_event GROUP BY type
+        UNION ALL SELECT type, 'ghost', count(*), count(*) FROM issue_event WHERE type = 'IssuesEvent' AND closed IS NULL GROUP BY type
+        UNION ALL SELECT type, CASE type WHEN 'IssueCommentEvent' THEN 'account' END, count(*), 0 FROM pull_event GROUP BY type""",
+    "oversized_lines": """
+        WITH line AS (
+          SELECT o_orderkey, length('{"type":"IssuesEvent","id":"' || o_orderkey || '","padding":"' || repeat('x', CAST(o_orderkey % 50 AS INTEGER)) || '"}') AS bytes
+          FROM orders
+        )
+        SELECT 'event' AS kind, count(*) AS lines, CAST(sum(o_orderkey) AS BIGINT) AS amount FROM line WHERE bytes <= 60
+        UNION ALL SELECT 'too long', count(*), CAST(sum(bytes) AS BIGINT) FROM line WHERE bytes > 60""",
+    "archive_inventory": f"""{_with(_ISSUE_EVENT, _PULL_EVENT)}
+        SELECT DISTINCT strftime(date_trunc('month', moment), '%Y-%m-%d') AS archive_date, 0 AS archive_hour, false AS empty
+        FROM (SELECT moment FROM issue_event UNION ALL SELECT moment FROM pull_event)
+        UNION ALL SELECT '2030-01-01', 0, true""",
     "results_roundtrip": _PART_ROWS,
 }

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuetrail.functions.labels import joined_labels
+from issuetrail.functions.payload import field, first_field, payload
 from issuetrail.functions.references import own_issue_prefix, referenced_issue, references
 from issuetrail.functions.text import archive_date, archive_hour, identifier_from_file
 from issuetrail.functions.timestamps import ISO_OUTPUT, normalize_timestamps, parse_iso, whole_days
 from issuetrail.operators import audit, issues, leaderboard, monthly, pulls, registration, resolution
 from issuetrail.plans.mining import Mined, mine_curated, mine_events, results_of
-from issuetrail.sources import archive, curated, registry, results, testdata
+from issuetrail.sources import archive, curated, ledger, registry, results, testdata
 from issuetrail.sources.session import new_folder, use_utc
 from issuetrail.sources.testdata import PARAMS, table
-from issuetrail.streaming import incremental
+from issuetrail.streaming import incremental, maintained
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,11 +189,11 @@ def monthly_long(spark, sf_dir):
 
 
 def monthly_dense(spark, sf_dir):
-    return monthly.monthly_grid(_counts(spark, sf_dir), PARAMS)
+    return monthly.monthly_grid(monthly.kept_counts(_counts(spark, sf_dir)), PARAMS)
 
 
 def monthly_matrix(spark, sf_dir):
-    matrix = monthly.monthly_matrix(monthly.monthly_grid(_counts(spark, sf_dir), PARAMS))
+    matrix = monthly.monthly_matrix(monthly_dense(spark, sf_dir))
     return matrix.select(
         "agent_name",
         F.array_join("months", ",").alias("months"),
@@ -306,14 +307,39 @@ def coverage_missing_hours(spark, sf_dir):
 
 
 def event_props(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(
+    props = table(spark, sf_dir, "events").select("event_id", payload(F.col("props")).alias("props"))
+    return props.select(
         "event_id",
-        F.get_json_object("props", "$.k").alias("k"),
-        F.get_json_object("props", "$.missing").alias("missing"),
-        F.coalesce(F.get_json_object("props", "$.missing"), F.get_json_object("props", "$.k"), F.lit("")).alias("k_or_missing"),
+        field(F.col("props"), "$.k").alias("k"),
+        field(F.col("props"), "$.missing").alias("missing"),
+        first_field(F.col("props"), "$.missing", "$.k").alias("k_or_missing"),
     )
 
 
+def payload_fields(spark, sf_dir):
+    """Events read with their payload as a variant: a field that the schema of events gives up as odd, and one that it does not name."""
+    folder = new_folder(spark, "payloads")
+    _write_archive(spark, sf_dir, folder)
+    seen = archive.scan_payloads(spark, folder, file_glob=_WRITTEN)
+    author = field(F.col("payload"), "$.issue.user")
+    author = F.when(author.startswith("{"), F.lit("account")).otherwise(author)
+    found = seen.select("type", author.alias("author"), field(F.col("payload"), "$.issue.title").alias("title"))
+    return found.where(F.col("type").isNotNull()).groupBy("type", "author").agg(F.count("*").alias("events"), F.count_if(F.col("title").startswith("Order ")).alias("titled"))
+
+
+def oversized_lines(spark, sf_dir):
+    """Lines over and under a bound: those under it are parsed, those over it are listed by size."""
+    folder = new_folder(spark, "oversized")
+    bodies = table(spark, sf_dir, "orders").select(
+        F.to_json(F.struct(F.lit("IssuesEvent").alias("type"), F.col("o_orderkey").cast("string").alias("id"), F.repeat(F.lit("x"), (F.col("o_orderkey") % 50).cast("int")).alias("padding"))).alias("value")
+    )
+    bodies.write.option("compression", "gzip").text(f"{folder}/slot=1998-01-01-0")
+    events, too_long = archive.scan_lines(spark, folder, largest_line=60, file_glob=_WRITTEN)
+    kept = archive.readable(events).groupBy().agg(F.lit("event").alias("kind"), F.count("*").alias("lines"), F.sum(F.col("id").cast("bigint")).alias("amount"))
+    passed = too_long.groupBy().agg(F.lit("too long").alias("kind"), F.count("*").alias("lines"), F.sum("bytes").alias("amount"))
+    return kept.unionByName(passed)
+
+
 def normalized_timestamps(spark, sf_dir):
     """Ten spellings of a time, by order key: canonical, spaced, offsets, dates, and three that are no time."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -344,14 +370,14 @@ def days_open(spark, sf_dir):
 # Sources, sinks and incremental runs --------------------------------------------------------------------
 
 
-def _write_archive(spark, sf_dir, folder, daily=False):
+def _write_archive(spark, sf_dir, folder, daily=False, days=None):
     """The events as gzipped JSON lines. A folder is one archive file's worth, named by month to keep them few; with ``daily``
     by day in the window, and outside by the end of the month that is farther from it.
 
     The rebalance spreads a month that holds much of the data over several files. Each opened issue is shown once more, with an
-    author that is no object.
+    author that is no object. With ``days`` only of these, added to what is there.
     """
-    found = _events(spark, sf_dir)
+    found = _events(spark, sf_dir) if days is None else _events(spark, sf_dir).where(days)
     day = F.col("archive_date")
     file_day = F.trunc(day, "month")
     if daily:
@@ -376,6 +402,7 @@ def _write_archive(spark, sf_dir, folder, daily=False):
         .hint("rebalance", "slot")
         .write.partitionBy("slot")
         .option("compression", "gzip")
+        .mode("append")
         .text(folder)
     )
 
@@ -407,6 +434,14 @@ def curated_leaderboard(spark, sf_dir):
     return leaderboard.leaderboard(agents, found)
 
 
+def single_document_roundtrip(spark, sf_dir):
+    """All parts of the result written as one document, an entry a line, and read back."""
+    folder = new_folder(spark, "document")
+    kept = results_of(_mined(spark, sf_dir), _agents(spark, sf_dir), PARAMS, keep_in=f"{folder}/kept")
+    results.write_document(kept, f"{folder}/document")
+    return _part_rows(results.read_document(spark, f"{folder}/document"))
+
+
 def document_roundtrip(spark, sf_dir):
     """All parts of the result written as documents and read back, one row per entry."""
     folder = new_folder(spark, "documents")
@@ -466,6 +501,60 @@ def incremental_windowed_leaderboard(spark, sf_dir):
     return leaderboard.leaderboard(agents, found)
 
 
+def maintained_leaderboard(spark, sf_dir):
+    """The leaderboard of outcomes that were brought up to date after each batch of a stream."""
+    folder = new_folder(spark, "maintained")
+    _write_archive(spark, sf_dir, f"{folder}/archive")
+    agents = _agents(spark, sf_dir)
+    incremental.fold_new_files(
+        spark, f"{folder}/archive", folder, PARAMS, files_per_batch=40, file_glob=_WRITTEN, after_batch=lambda: maintained.refresh(spark, folder, agents)
+    )
+    found = maintained.resolved_outcomes(maintained.read_outcomes(spark, folder), PARAMS)
+    return leaderboard.leaderboard(agents, found)
+
+
+def ledger_leaderboard(spark, sf_dir):
+    """The leaderboard of an archive that came in two parts, each parsed once, by way of the file ledger."""
+    folder = new_folder(spark, "ledger")
+    _write_archive(spark, sf_dir, f"{folder}/archive", days=F.col("archive_date") < F.lit(date(1995, 1, 1)))
+    parsed = [ledger.parse_new_files(spark, f"{folder}/archive", folder, PARAMS, file_glob=_WRITTEN)]
+    _write_archive(spark, sf_dir, f"{folder}/archive", days=F.col("archive_date") >= F.lit(date(1995, 1, 1)))
+    parsed += [ledger.parse_new_files(spark, f"{folder}/archive", folder, PARAMS, file_glob=_WRITTEN) for _ in range(2)]
+    files = archive.archive_files(spark, f"{folder}/archive", _WRITTEN).count()
+    if parsed != [parsed[0], files - parsed[0], 0]:
+        raise AssertionError(f"{parsed} of {files} files")
+    mined = mine_curated(spark, folder, read=ledger.read_parsed)
+    agents = _agents(spark, sf_dir)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
+    return leaderboard.leaderboard(agents, found)
+
+
+def damaged_leaderboard(spark, sf_dir):
+    """The leaderboard of a stream that goes on past a file that was cut short, with the number of dead letters; the file's lines are in another as well."""
+    folder = new_folder(spark, "damaged")
+    _write_archive(spark, sf_dir, f"{folder}/archive")
+    testdata.add_files(spark, f"{folder}/archive", _WRITTEN)
+    incremental.fold_new_files(spark, f"{folder}/archive", folder, PARAMS, files_per_batch=400, skip_damaged_files=True, file_glob=_WRITTEN)
+    mined = incremental.read_state(spark, folder)
+    agents = _agents(spark, sf_dir)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
+    dead = incremental.dead_letters(spark, folder).where("fault is not null").count()
+    return leaderboard.leaderboard(agents, found).withColumn("dead_letters", F.lit(dead).cast("bigint"))
+
+
+def archive_inventory(spark, sf_dir):
+    """The files of an archive by day, also an hour whose only file is empty."""
+    folder = new_folder(spark, "inventory")
+    _write_archive(spark, sf_dir, folder)
+    testdata.add_files(spark, folder, _WRITTEN)
+    files = archive.file_inventory(spark, folder, _WRITTEN)
+    days = files.groupBy("archive_date", "archive_hour").agg(F.max("bytes").alias("most"))
+    empty = audit.empty_hours(files).withColumn("empty", F.lit(True))
+    return days.join(empty, ["archive_date", "archive_hour"], "left").select(
+        F.col("archive_date").cast("string").alias("archive_date"), "archive_hour", F.coalesce("empty", F.lit(False)).alias("empty")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "issue_snapshots": issue_snapshots,
     "issue_variants": issue_variants,
@@ -504,6 +593,9 @@ QUERIES: dict[str, Query] = {
     "coverage_gaps": coverage_gaps,
     "coverage_missing_hours": coverage_missing_hours,
     "event_props": event_props,
+    "payload_fields": payload_fields,
+    "oversized_lines": oversized_lines,
+    "archive_inventory": archive_inventory,
     "normalize_timestamps": normalized_timestamps,
     "days_open": days_open,
     "scan_roundtrip": scan_roundtrip,
@@ -512,6 +604,10 @@ QUERIES: dict[str, Query] = {
     "results_roundtrip": results_roundtrip,
     "incremental_leaderboard": incremental_leaderboard,
     "incremental_windowed_leaderboard": incremental_windowed_leaderboard,
+    "single_document_roundtrip": single_document_roundtrip,
+    "ledger_leaderboard": ledger_leaderboard,
+    "damaged_leaderboard": damaged_leaderboard,
+    "maintained_leaderboard": maintained_leaderboard,
 }
 
 

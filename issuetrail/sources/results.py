@@ -1,8 +1,8 @@
-"""Results of a run: one table per part, and documents of all parts as JSON.
+"""Results of a run: one table per part, one JSON document of all parts, or several documents with a slice of each.
 
-The tables are the scalable form. A document holds a slice of every part under the reference's
-keys; with one document the slice is everything. Documents are independent and their union is the
-result, so the wanted list never has to fit into one row.
+The tables are the scalable form. The one document is written as lines, each with one entry, in files whose names give their order: joined, they are the
+document, and no row or task holds more than entries of its own. Several documents hold a slice of every part each; they are independent and their
+union is the result.
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from issuetrail.functions.timestamps import MISSING
 from issuetrail.operators.leaderboard import NO_WEBSITE, UNKNOWN_NAME
-from issuetrail.sources.schemas import DOCUMENT, ISSUE, LEADERBOARD, MONTHLY, RUN
+from issuetrail.operators.ranking import numbered
+from issuetrail.sources.schemas import DOCUMENT, ISSUE, LEADERBOARD, METADATA, MONTHLY, RUN
+from issuetrail.sources.schemas import struct_fields as _fields
 
 PARTS = {"leaderboard": LEADERBOARD, "monthly": MONTHLY, "wanted": ISSUE, "run": RUN}
 
@@ -122,6 +124,88 @@ def write_documents(results: Results, folder: str, shards: int) -> None:
     documents(results, shards).select("document").write.mode("overwrite").text(folder)
 
 
+#: The sections of the document in their order: what opens each, and how one entry of it is read back.
+_SECTIONS = ("head", "leaderboard", "agents", "months", "data", "wanted", "tail")
+_OPENING = {"leaderboard": '"leaderboard":{', "agents": '},"monthly_metrics":{"agents":[', "months": '],"months":[', "data": '],"data":{', "wanted": '}},"wanted_issues":[', "tail": "]}"}
+
+
+def document_lines(results: Results) -> DataFrame:
+    """(section, key, line): the one document as lines in the order of section and key, an entry a line; entries of a section are parted by commas before them.
+
+    Entries without an identifier or agent name are left out: these are the keys of their parts.
+    """
+
+    def named(key: Column, value: Column) -> Column:
+        return F.concat(quoted(key), F.lit(":"), F.to_json(value, {"ignoreNullFields": "false"}))
+
+    def quoted(key: Column) -> Column:
+        """A text as JSON: what is between the brackets of a list of it."""
+        return F.regexp_extract(F.to_json(F.array(key)), r"(?s)^\[(.*)\]$", 1)
+
+    board = results.leaderboard.where(F.col("github_identifier").isNotNull())
+    cells = F.array_sort(F.collect_list(F.struct("month", "resolved")))
+    agents = results.monthly.where(F.col("agent_name").isNotNull()).groupBy("agent_name").agg(cells.alias("cells"))
+    months = results.monthly.where(F.col("agent_name").isNotNull()).select("month").distinct()
+    issue = F.struct("url", "repo", "title", "number", "state", "created_at", "closed_at", "labels")
+    entries = {
+        "leaderboard": board.select(F.col("github_identifier").alias("key"), named(F.col("github_identifier"), F.struct("name", "website", "github_identifier", "resolved_issues")).alias("line")),
+        "agents": agents.select(F.col("agent_name").alias("key"), quoted(F.col("agent_name")).alias("line")),
+        "months": months.select(F.col("month").alias("key"), quoted(F.col("month")).alias("line")),
+        "data": agents.select(F.col("agent_name").alias("key"), named(F.col("agent_name"), F.struct(F.col("cells.resolved").alias("monthly_resolved"))).alias("line")),
+        "wanted": results.wanted.select(F.coalesce("url", F.lit("")).alias("key"), F.to_json(issue, {"ignoreNullFields": "false"}).alias("line")),
+    }
+    metadata = F.struct(*[c for c in results.run.columns if c != "last_updated"])
+    opening = F.to_json(F.struct("last_updated", metadata.alias("metadata")), {"ignoreNullFields": "false"})
+    # the object stays open
+    lines = results.run.select(F.lit(0).alias("section"), F.lit("").alias("key"), F.concat(opening.substr(F.lit(1), F.length(opening) - 1), F.lit(",")).alias("line"))
+    spark = results.run.sparkSession
+    for number, name in enumerate(_SECTIONS[1:], 1):
+        opened = spark.createDataFrame([(number, None, _OPENING[name])], "section int, key string, line string")
+        lines = lines.unionByName(opened)
+        if name in entries:
+            lines = lines.unionByName(entries[name].select(F.lit(number).alias("section"), "key", "line"))
+    return lines
+
+
+def write_document(results: Results, folder: str) -> None:
+    """Writes one document as lines: ``section=<n>/part-*`` in the order of names, which join to a JSON text.
+
+    Lines are dealt out by ranges and numbered, so that all entries of a section but its first get their comma.
+    """
+    order = [F.asc("section"), F.asc_nulls_first("key"), F.asc("line")]
+    ranked = numbered(document_lines(results), order)
+    # the line after an opening is the first entry of its section
+    openings = ranked.where(F.col("key").isNull()).select((F.col("rank") + 1).alias("rank"), F.lit(True).alias("leads"))
+    marked = ranked.join(F.broadcast(openings), "rank", "left")
+    parted = F.col("key").isNotNull() & F.col("leads").isNull() & (F.col("section") > 0)
+    text = F.when(parted, F.concat(F.lit(","), F.col("line"))).otherwise(F.col("line"))
+    dealt = marked.select("section", "rank", text.alias("value")).repartitionByRange("rank").sortWithinPartitions("section", "rank")
+    dealt.select("section", "value").write.mode("overwrite").partitionBy("section").text(folder)
+
+
+def read_document(spark: SparkSession, folder: str) -> Results:
+    """The parts of a document that ``write_document`` wrote, read line by line in any order."""
+    lines = spark.read.schema("value string, section int").text(folder)
+    section = {name: lines.where(F.col("section") == n) for n, name in enumerate(_SECTIONS)}
+    bare = F.regexp_replace("value", "^,", "")
+
+    def entries(name: str, value: str) -> DataFrame:
+        opening = _OPENING[name]
+        read = F.from_json(F.concat(F.lit("{"), bare, F.lit("}")), f"map<string, {value}>")
+        return section[name].where(F.col("value") != opening).select(F.explode(read).alias("key", "entry"))
+
+    board = entries("leaderboard", f"struct<{_fields(LEADERBOARD)}>").select("entry.*")
+    months = section["months"].where(F.col("value") != _OPENING["months"]).agg(F.array_sort(F.collect_list(F.from_json(F.concat(F.lit("["), bare, F.lit("]")), "array<string>")[0])).alias("months"))
+    data = entries("data", "struct<monthly_resolved: array<bigint>>").select(F.col("key").alias("agent_name"), F.posexplode("entry.monthly_resolved").alias("at", "resolved"))
+    # one row of at most as many months as the window has
+    numbered_months = months.select(F.posexplode("months").alias("at", "month"))
+    monthly = data.join(F.broadcast(numbered_months), "at").select("agent_name", "month", "resolved")
+    wanted = section["wanted"].where(F.col("value") != _OPENING["wanted"]).select(F.from_json(bare, ISSUE).alias("issue")).select("issue.*")
+    head = F.from_json(F.concat(F.regexp_replace("value", ",$", ""), F.lit("}")), f"last_updated string, metadata struct<{_fields(METADATA)}>")
+    run = section["head"].select(head.alias("head")).select("head.last_updated", "head.metadata.*")
+    return Results(board, monthly, wanted, run)
+
+
 def read_documents(spark: SparkSession, path: str, one_per_file: bool = False) -> Results:
     """Parts of all documents under a path, with defaults for missing keys; nothing there gives empty parts.
 

@@ -39,16 +39,16 @@ METADATA = (
 RUN = f"last_updated string, {METADATA}"
 
 
-def _fields(ddl: str) -> str:
+def struct_fields(ddl: str) -> str:
     """The same columns as struct fields."""
     return ", ".join(f"{name}: {kind}" for name, kind in (c.strip().split(" ", 1) for c in ddl.split(",")))
 
 
 DOCUMENT = f"""
     last_updated string,
-    leaderboard map<string, struct<{_fields(LEADERBOARD)}>>,
+    leaderboard map<string, struct<{struct_fields(LEADERBOARD)}>>,
     monthly_metrics struct<agents: array<string>, months: array<string>,
                            data: map<string, struct<monthly_resolved: array<bigint>>>>,
-    wanted_issues array<struct<{_fields(ISSUE)}>>,
-    metadata struct<{_fields(METADATA)}>
+    wanted_issues array<struct<{struct_fields(ISSUE)}>>,
+    metadata struct<{struct_fields(METADATA)}>
 """

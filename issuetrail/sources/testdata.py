@@ -120,6 +120,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, branches)
 
 
+def add_files(spark: SparkSession, archive: str, file_glob: str) -> None:
+    """Adds to an archive a copy of its smallest file that is cut short, and an hour of 2030 whose only file is empty.
+
+    Spark's writers make neither, so the file system of the session writes them.
+    """
+    smallest = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).option("recursiveFileLookup", "true").load(archive)
+    name, content = smallest.orderBy("length", "path").select("path", "content").first()
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path, data in ((f"{name.rsplit('/', 1)[0]}/cut.txt.gz", content[: len(content) // 2]), (f"{archive}/slot=2030-01-01-0/empty.txt.gz", b"")):
+        target = files.Path(path)
+        out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+        out.write(bytearray(data))
+        out.close()
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One agent per supplier. Of every ten, the ninth is inactive, the tenth is not an agent, the seventh and
     eighth share a name and the sixth has no website."""

@@ -171,8 +171,8 @@ def test_leaderboard_defaults_and_view(spark):
         ("Unknown", "N/A", "b", 3), ("Aye", "https://aye", "a", 3), ("Idle", "https://idle", "idle", 0)
     }
     view = leaderboard.leaderboard_view(board)
-    assert view.columns == ["Agent Name", "Website", "Resolved Issues"]
-    assert [tuple(r) for r in view.collect()] == [("Aye", "https://aye", 3), ("Unknown", "N/A", 3)]
+    assert view.columns == ["rank", "Agent Name", "Website", "Resolved Issues"]
+    assert [tuple(r) for r in view.collect()] == [(1, "Aye", "https://aye", 3), (2, "Unknown", "N/A", 3)]
     assert leaderboard.leaderboard_view(board, low=4).count() == 0
     assert leaderboard.leaderboard_view(board, high=3, term="AYE").count() == 1
 

@@ -189,7 +189,7 @@ def test_whole_run(spark, files, registry_folder):
     assert {r["github_identifier"]: r["resolved_issues"] for r in read.leaderboard.collect()} == {"my-agent[bot]": 1, "nested": 0}
     assert [tuple(r) for r in read.monthly.collect()] == [("Mine", "2024-01", 1)]
     assert read.wanted.count() == 0
-    again = results.read_documents(spark, f"{output}/documents")
+    again = results.read_document(spark, f"{output}/document")
     assert again.leaderboard.count() == 2
 
 
