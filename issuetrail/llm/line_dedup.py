@@ -135,7 +135,8 @@ def _listed(met: DataFrame) -> DataFrame:
 def _told_apart(rows: DataFrame, met: DataFrame) -> bool:
     """Whether all runs that share a hash are the same, character by character: the least and the greatest are equal."""
     places = met.groupBy("node", "version").agg(F.collect_set(F.struct("hash", "at", "size")).alias("places"))
-    texts = rows.join(places, ["node", "version"]).select(F.split("text", "\n").alias("lines"), F.explode("places").alias("c"))
+    # by shuffle at every size, so that small and large inputs go the same way
+    texts = rows.join(places.hint("merge"), ["node", "version"]).select(F.split("text", "\n").alias("lines"), F.explode("places").alias("c"))
     run = F.array_join(F.slice("lines", F.col("c.at") + 1, F.col("c.size")), "\n")
     compared = texts.select("c.hash", run.alias("run")).groupBy("hash").agg((F.min("run") != F.max("run")).alias("differ"))
     return compared.where("differ").isEmpty()
@@ -183,7 +184,7 @@ def remove_repeated(documents: DataFrame, divisor: int = 4, least_chars: int = 4
     found = written(repeated_runs(rows, divisor, least_chars, long_line))
     found = found.select(F.col("node").alias(node), F.col("version").alias(version), F.col("gone").alias(gone))
     lines = F.split("text", "\n")
-    tagged = tagged.join(found, [node, version], "left").withColumn(gone, _lines_of(F.col(gone)))
+    tagged = tagged.join(found.hint("merge"), [node, version], "left").withColumn(gone, _lines_of(F.col(gone)))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
     result = tagged.withColumn("text", text).withColumn("removed_lines", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
