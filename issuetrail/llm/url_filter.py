@@ -5,13 +5,14 @@ Everything here is column expressions, aggregations and joins.
 
 from __future__ import annotations
 
+import math
 import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import table
+from issuetrail.llm.common import table, written
 
 RULES = [
     ("allow", "com", "/"),
@@ -57,6 +58,12 @@ def _marks(key: Column) -> list[Column]:
     return [bit(2 * w).bitwiseOR(bit(2 * w + 1)) for w in range(4)]
 
 
+def blocks_for(keys: int, false_positives: float) -> int:
+    """How many blocks of 256 bits a filter of so many different keys needs; half as many again as for evenly filled blocks, which these aren't."""
+    bits = -8 / math.log(1 - false_positives ** (1 / 8))
+    return max(1, math.ceil(1.5 * bits * keys / 256))
+
+
 def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
     """(block, w0, w1, w2, w3): a blocked Bloom filter of the column `key`, a row for each block of 256 bits in use.
 
@@ -67,42 +74,49 @@ def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
 
 
 def maybe_listed(rows: DataFrame, filter_blocks: DataFrame, blocks: int) -> DataFrame:
-    """Rows with `maybe`: false if the filter excludes that their key is listed."""
-    probe = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    """Rows with `maybe`: false if the filter excludes that their key is listed. An empty key isn't looked up; its rows are dealt by all their columns."""
+    no_key = -1 - F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 16))
+    probe = rows.withColumn("block", F.when(F.col("key") == "", no_key).otherwise(F.pmod(F.xxhash64("key"), F.lit(blocks))))
     met = probe.join(filter_blocks, "block", "left")
     all_set = reduce(Column.__and__, [F.col(f"w{i}").bitwiseAND(m) == m for i, m in enumerate(_marks(F.col("key")))])
     return met.withColumn("maybe", F.coalesce(all_set, F.lit(False))).drop("block", *[f"w{i}" for i in range(4)])
 
 
-def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], blocks: int = 1 << 16) -> DataFrame:
+def judge(
+    pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]], false_positives: float = 0.01, most_blocks: int = 1 << 18
+) -> DataFrame:
     """(page_id, host, path, rule, verdict, maybe_listed, listed) of pages (page_id, url), one row for each of theirs.
 
-    listed: canonical URLs as `key`. The longest fitting rule decides; without one, a listed URL is blocked and any other allowed. Different
-    URLs, not pages, meet the filter, and only those that it passes meet the list, in an exact join. A null url, or one without
-    `://`, has an empty host and path, fits no rule and is allowed. Repeated rows stay; nulls and repeats in the list are harmless; other columns
+    listed: canonical URLs as `key`. The longest fitting rule decides; without one, a listed URL is blocked and any other allowed. The filter is
+    sized by the list's count of different URLs and the share of false positives. One of at most `most_blocks` blocks (of 40 bytes) is sent to the pages, which
+    then don't move; a larger one meets them in a join by shuffle. Only pages that it passes go on to the exact join with the list. A null url, or one
+    without `://`, has an empty host and path, fits no rule and is allowed. Repeated rows stay; nulls and repeats in the list are harmless; other columns
     are ignored; empty tables give no rows, or an empty list.
     """
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("key", canonical(F.col("host"), F.col("path")))
-    known = listed.select("key").where("key is not null and key <> ''").distinct()
-    passed = maybe_listed(rows.select("key").distinct(), bloom_blocks(known, blocks), blocks)
-    hits = passed.where("maybe").join(known.withColumn("listed", F.lit(True)), "key", "left")
-    judged = rows.join(hits, "key", "left")
+    known = written(listed.select("key").where("key is not null and key <> ''").distinct())
+    blocks = blocks_for(known.count(), false_positives)
+    marks = written(bloom_blocks(known, blocks))
+    probed = maybe_listed(rows, F.broadcast(marks) if blocks <= most_blocks else marks.hint("merge"), blocks)
+    # by shuffle at every size: the list may grow with the pages, and a much repeated URL is split as both sides come straight from it
+    hits = probed.where("maybe").join(known.withColumn("listed", F.lit(True)).hint("merge"), "key", "left")
+    others = probed.where("not maybe").withColumn("listed", F.lit(False))
     text, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     found = F.coalesce("listed", F.lit(False))
-    return judged.select(
+    return hits.unionByName(others).select(
         "page_id",
         "host",
         "path",
         text.alias("rule"),
         F.coalesce(verdict, F.when(found, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-        F.coalesce("maybe", F.lit(False)).alias("maybe_listed"),
+        F.col("maybe").alias("maybe_listed"),
         found.alias("listed"),
     )
 
 
 def reported(pages: DataFrame) -> DataFrame:
-    """The list of the query: canonical URLs of pages on reported sites."""
+    """The list of the query: canonical URLs of pages on reported sites. There is no table of such URLs, so it is made from the pages, here and in the SQL."""
     host, path = parts(F.col("url"))
     rows = pages.select(host.alias("host"), path.alias("path")).where(F.col("host").rlike(REPORTED))
     return rows.select(canonical(F.col("host"), F.col("path")).alias("key"))

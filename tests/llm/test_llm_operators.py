@@ -548,6 +548,35 @@ def test_rules_filter_and_list(spark):
     assert passed.where("key like '%1' and not maybe").count() == 0 and passed.where("key not like '%1' and maybe").count() < 300
 
 
+def test_url_filter_sizes_and_paths(spark):
+    keys = spark.range(40_000).select(F.concat(F.lit("site.org/"), F.col("id")).alias("key"), (F.col("id") % 4 == 0).alias("listed"))
+    for share in (0.1, 0.01, 0.001):
+        blocks = url_filter.blocks_for(10_000, share)
+        passed = url_filter.maybe_listed(keys, url_filter.bloom_blocks(keys.where("listed"), blocks), blocks)
+        assert passed.where("listed and not maybe").count() == 0
+        assert passed.where("not listed and maybe").count() <= 30_000 * share
+    assert url_filter.blocks_for(0, 0.01) == 1 and url_filter.blocks_for(2_000_000, 0.01) > 15 * url_filter.blocks_for(100_000, 0.01)
+    # a third of the pages without a host, a third with one listed URL
+    pages = spark.range(3000).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "http://www.bad.org/x/").otherwise(F.concat(F.lit("http://h"), F.col("id") % 7, F.lit(".org/p"), F.col("id"))).alias("url"),
+        F.lit(1).alias("key"),
+        F.lit(2).alias("block"),
+    )
+    listed = spark.createDataFrame([("bad.org/x",), ("h2.org/p2",), ("",), (None,), ("bad.org/x",)], "key string")
+    sent = url_filter.judge(pages, listed, url_filter.RULES)
+    met = url_filter.judge(pages, listed, url_filter.RULES, most_blocks=0)
+    plans = [frame._jdf.queryExecution().optimizedPlan().toString() for frame in (sent, met)]
+    assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
+    found = sorted(sent.collect())
+    assert found == sorted(met.collect()) and len(found) == 3000
+    assert [r["page_id"] for r in found if r["listed"]] == [i for i in range(3000) if i % 3 == 1 or i == 2]
+    assert all(r["verdict"] == "allow" and not r["maybe_listed"] for r in found if r["page_id"] % 3 == 0)
+    nothing = url_filter.judge(pages, listed.limit(0), url_filter.RULES)
+    assert nothing.count() == 3000 and nothing.where("listed or maybe_listed").count() == 0
+    assert url_filter.judge(pages.limit(0), listed, url_filter.RULES).count() == 0
+
+
 def test_chat_round_trip(spark):
     said = ["\\### Assistant: </turn> ok", "\\", "</turn", "####", "a\n### User: b</turn>", "", None, "é\U0001f600\\\\"]
     rows = [(c, i, role, text, "x") for c, roles in enumerate([["user", "assistant"] * 4, ["assistant", "weird: ### role", "User", "=x", "system", "tool", None, "user"]]) for i, (role, text) in enumerate(zip(roles, said, strict=True))]
