@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from issuetrail.llm.common import fold, pieces, table
@@ -199,12 +199,21 @@ def _ties(found: pd.DataFrame, clean: int, toxic: int) -> np.ndarray:
     return ties
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 1500, sample_chars: int = 20_000, least_tie: float = 18.0) -> Model:
+def _fitting(drawn: list[Row], most_chars: int) -> Iterator[Row]:
+    """Of drawn rows, in their order, those whose texts have room."""
+    for row in drawn:
+        if row["chars"] <= most_chars:
+            most_chars -= row["chars"]
+            yield row
+
+
+def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 1500, sample_chars: int = 4_000_000, least_tie: float = 18.0) -> Model:
     """A model of documents (doc_id, text) and labels (doc_id, toxic), learned from the rows given.
 
-    The ties of features to toxic documents are counted over all labelled rows. The chain is then fitted on a bounded sample: of each label
-    the `sample_rows` rows of the least hashed ids, among texts of at most `sample_chars` characters. Rows without a text or a label don't take part;
-    of several labels of an id the toxic one counts. Without both labels the model's score is the rate of toxic labels.
+    The ties of features to toxic documents are counted over all labelled rows. The chain is then fitted on a bounded sample of texts of any length: of each
+    label the `sample_rows` different rows of the least hashed ids, passing over those that would bring it beyond `sample_chars` characters altogether. Rows without a
+    text or a label don't take part; of several labels of an id the toxic one counts. Without both labels, among all or in the sample, the score is the rate of
+    toxic labels.
     """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     rows = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
@@ -219,11 +228,17 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = 1500, sample
     # at most BUCKETS * KINDS rows
     found = pd.DataFrame([tuple(r) for r in signs.select("feature", "clean", "toxic").collect()], columns=["feature", "clean", "toxic"])
     ties = _ties(found.astype("int64"), clean, toxic)
-    short = rows.where(F.char_length("text") <= sample_chars).select("doc_id").join(marks, "doc_id")
-    drawn = [short.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for label in (0, 1)]
-    ids = pd.DataFrame([tuple(r) for part in drawn for r in part.collect()], columns=["doc_id", "toxic"]).drop_duplicates("doc_id")
-    wanted = documents.sparkSession.createDataFrame([(int(i), int(t)) for i, t in ids.itertuples(index=False)], "doc_id long, toxic int")
-    sample = rows.where(F.char_length("text") <= sample_chars).join(F.broadcast(wanted), "doc_id").orderBy("doc_id", "text").limit(4 * sample_rows).collect()
+    sized = rows.select("doc_id", F.char_length("text").alias("chars"), F.xxhash64("text").alias("mark")).join(marks, "doc_id").distinct()
+    wanted = []
+    for label in (0, 1):
+        drawn = sized.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "chars", "mark").limit(sample_rows).collect()
+        wanted += [(r["doc_id"], r["mark"], label) for r in _fitting(drawn, sample_chars)]
+    if len({label for *_, label in wanted}) < 2:
+        return Model(np.zeros(0), np.ones((2, 2)), 0.0, np.zeros(4), toxic / (clean + toxic))
+    # at most 2 * sample_rows rows
+    chosen = F.broadcast(documents.sparkSession.createDataFrame(wanted, "doc_id long, mark long, toxic int"))
+    met = rows.withColumn("mark", F.xxhash64("text")).join(chosen, ["doc_id", "mark"])
+    sample = met.dropDuplicates(["doc_id", "mark"]).orderBy("doc_id", "mark").collect()
     tokens = tokenize([r["text"] for r in sample])
     marked = np.array([r["toxic"] for r in sample])
     tie = ties[tokens.features].max(axis=1)

@@ -590,3 +590,19 @@ def test_chat_round_trip(spark):
         assert found[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest() and found[c]["loss_chars"] == len(loss)
     assert found[0]["valid"] and not found[1]["valid"] and not found[3]["valid"] and found[3]["n_turns"] == 2 and found[None]["n_turns"] == 1
     assert chat_format.read_back(chat_format.format_turns(frame.limit(0))).count() == 0
+
+
+def test_toxicity_learns_from_texts_of_any_length(spark):
+    rows = [{"chars": n} for n in (30, 500, 80, 40, 21)]
+    assert [r["chars"] for r in toxicity._fitting(rows, 160)] == [30, 80, 40]
+    # every toxic text is long, and stands in the table more than once
+    texts = [(i, prose(i, 4000) + " vilest slurword " + prose(i + 500, 40)) if i % 2 else (i, prose(i, 30)) for i in range(80)]
+    frame = spark.createDataFrame([row for row in texts for _ in range(2)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    assert min(len(t) for i, t in texts if i % 2) > 20_000
+    model = toxicity.fit(frame, labels)
+    scored = {r["doc_id"]: r["toxicity"] for r in toxicity.score(frame, model).collect()}
+    assert all((scored[i] >= 0.7) == bool(i % 2) for i in range(80))
+    # no toxic text has room: the rate of labels
+    short = toxicity.fit(frame, labels, sample_chars=20_000)
+    assert {r["toxicity"] for r in toxicity.score(frame, short).collect()} == {0.5}
