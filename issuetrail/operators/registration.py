@@ -90,12 +90,13 @@ def validate_submissions(submissions: DataFrame, registry: DataFrame, users: Dat
     )
 
 
-def accepted_agents(validated: DataFrame) -> DataFrame:
-    """Accepted submissions as registry rows."""
+def accepted_agents(validated: DataFrame, *more: str) -> DataFrame:
+    """Accepted submissions as registry rows, with more columns if named."""
     return validated.where(F.col("status") == "accepted").select(
         "name",
         "organization",
         F.col("identifier").alias("github_identifier"),
         "website",
         F.lit(ACTIVE).alias("status"),
+        *more,
     )

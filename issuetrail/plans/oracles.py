@@ -266,6 +266,9 @@ ORACLES: dict[str, str] = {
     "agent_identifiers": "SELECT c_custkey, 'agent ' || c_custkey || '+[bot]' AS github_identifier FROM customer",
     "submission_validation": f"""{_VALIDATED}
         SELECT submission_id, identifier, name, organization, website, reason, status FROM validated""",
+    "registry_of_two_writers": f"""{_VALIDATED}
+        SELECT 1 AS writer, submission_id, identifier, reason, status FROM validated
+        UNION ALL SELECT 2, submission_id, identifier, coalesce(reason, 'Agent already exists'), 'rejected' FROM validated""",
     "registry_scan": f"{_with(_AGENT)} SELECT name, organization, website, status FROM agent",
     "registry_append": f"""{_VALIDATED}
         SELECT name, organization, github_identifier, website, status FROM agent
@@ -332,6 +335,7 @@ ORACLES: dict[str, str] = {
     "document_roundtrip": _PART_ROWS,
     "single_document_roundtrip": _PART_ROWS,
     "ledger_leaderboard": _LEADERBOARD,
+    "versioned_leaderboard": _LEADERBOARD,
     "maintained_leaderboard": _LEADERBOARD,
     "damaged_leaderboard": f"{_PIPELINE}, {_BOARD} SELECT *, CAST(1 AS BIGINT) AS dead_letters FROM board",
     "payload_fields": f"""{_with(_ISSUE_EVENT, _PULL_EVENT)}

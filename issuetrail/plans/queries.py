@@ -256,6 +256,20 @@ def registry_append(spark, sf_dir):
     return registry.read_registry_table(spark, folder)
 
 
+def registry_of_two_writers(spark, sf_dir):
+    """The verdicts of two writers that judge all submissions at once: the second finds its number taken and judges again."""
+    folder = new_folder(spark, "registry-writers")
+    columns = ["name", "organization", "github_identifier", "website", "status"]
+    _agents(spark, sf_dir).select(*columns).write.parquet(folder)
+    asked, users = testdata.submissions(spark, sf_dir), testdata.users(spark, sf_dir)
+    first, second = (registry.propose(asked, users, folder, "submission_id") for _ in range(2))
+    if not first.commit() or second.commit():
+        raise AssertionError("the number was not taken once")
+    again = registry.register(asked, users, folder, "submission_id")
+    both = first.verdicts().withColumn("writer", F.lit(1)).unionByName(again.withColumn("writer", F.lit(2)))
+    return both.select("writer", "submission_id", "identifier", "reason", "status")
+
+
 def registry_scan(spark, sf_dir):
     """The registry written as one JSON file per agent and read back; identifiers, which are file names, aside."""
     folder = new_folder(spark, "registry-files")
@@ -434,6 +448,22 @@ def curated_leaderboard(spark, sf_dir):
     return leaderboard.leaderboard(agents, found)
 
 
+def versioned_leaderboard(spark, sf_dir):
+    """The leaderboard of a curated table of two schema versions: the older has issue numbers as numbers, no lines and paths, and a column that is gone."""
+    folder = new_folder(spark, "versions")
+    _write_archive(spark, sf_dir, f"{folder}/archive")
+    rows = curated.curated(archive.scan_archive(spark, f"{folder}/archive", file_glob=_WRITTEN), PARAMS)
+    older = F.coalesce(F.col("event_ts") < F.lit("1995-01-01").cast("timestamp"), F.lit(False))
+    number = F.col("issue").withField("issue_number", F.col("issue.issue_number").cast("bigint"))
+    first = rows.where(older).withColumn("issue", number).withColumn("host", F.lit("h")).drop("line", "file_path")
+    curated.write_version(first, f"{folder}/curated", 1)
+    curated.write_version(rows.where(~older), f"{folder}/curated", 2)
+    mined = mine_curated(spark, f"{folder}/curated", read=curated.read_versions)
+    agents = _agents(spark, sf_dir)
+    found = resolution.resolved_issues(mined.issues, mined.resolution(agents, PARAMS), PARAMS)
+    return leaderboard.leaderboard(agents, found)
+
+
 def single_document_roundtrip(spark, sf_dir):
     """All parts of the result written as one document, an entry a line, and read back."""
     folder = new_folder(spark, "document")
@@ -587,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "agent_identifiers": agent_identifiers,
     "submission_validation": submission_validation,
     "registry_append": registry_append,
+    "registry_of_two_writers": registry_of_two_writers,
     "registry_scan": registry_scan,
     "batch_stats": batch_stats,
     "run_summary": run_summary,
@@ -606,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "incremental_windowed_leaderboard": incremental_windowed_leaderboard,
     "single_document_roundtrip": single_document_roundtrip,
     "ledger_leaderboard": ledger_leaderboard,
+    "versioned_leaderboard": versioned_leaderboard,
     "damaged_leaderboard": damaged_leaderboard,
     "maintained_leaderboard": maintained_leaderboard,
 }

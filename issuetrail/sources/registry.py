@@ -1,13 +1,22 @@
-"""The agent registry: one JSON file per agent, or a table of accepted submissions."""
+"""The agent registry: one JSON file per agent, or a table of accepted submissions.
+
+The table is what lies in its folder, if anything, and what was added to it since: ``<folder>-added/verdicts`` holds the judged submissions of each
+addition, ``<folder>-added/log`` their numbers. An addition without a number, of a writer that failed or lost, is not read.
+"""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuetrail.functions.text import decoded_path, identifier_from_file
-from issuetrail.operators.registration import accepted_agents
-from issuetrail.sources.schemas import AGENT, REGISTRY
+from issuetrail.operators.registration import accepted_agents, validate_submissions
+from issuetrail.sources.commits import claim, last_number, read_log
+from issuetrail.sources.ledger import read_or_none
+from issuetrail.sources.schemas import AGENT, REGISTRY, VERDICT
 
 
 def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,14 +36,67 @@ def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
     ).select("entry.*", "github_identifier", "file_path")
 
 
-def read_registry_table(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per identifier: what was added last. Rows written without a time count as the oldest."""
-    rows = spark.read.schema(f"{REGISTRY}, added_at timestamp").parquet(folder)
-    fields = [c for c in rows.columns if c not in ("github_identifier", "added_at")]
-    latest = rows.groupBy("github_identifier").agg(F.max(F.struct("added_at", *fields)).alias("entry"))
-    return latest.select(*[F.col(c if c == "github_identifier" else f"entry.{c}").alias(c) for c in rows.columns if c != "added_at"])
+def read_registry_table(spark: SparkSession, folder: str, up_to: int | None = None) -> DataFrame:
+    """One row per identifier: what was added last, or last up to a number. Rows that lay in the folder before are the oldest, by their time if they have one."""
+    base = read_or_none(spark, folder, f"{REGISTRY}, added_at timestamp")
+    if base is None:
+        base = spark.createDataFrame([], f"{REGISTRY}, added_at timestamp")
+    rows = base.withColumn("number", F.lit(0).cast("bigint"))
+    verdicts = read_or_none(spark, f"{folder}-added/verdicts", VERDICT)
+    if verdicts is not None:
+        log = read_log(spark, f"{folder}-added/log")
+        log = log if up_to is None else log.where(F.col("number") <= up_to)
+        numbered = verdicts.join(log, "commit")
+        rows = rows.unionByName(accepted_agents(numbered, "number"), allowMissingColumns=True)
+    fields = [c for c in rows.columns if c not in ("github_identifier", "number", "added_at")]
+    latest = rows.groupBy("github_identifier").agg(F.max(F.struct("number", "added_at", *fields)).alias("entry"))
+    return latest.select(*[F.col(c if c == "github_identifier" else f"entry.{c}").alias(c) for c in rows.columns if c not in ("number", "added_at")])
+
+
+@dataclass(frozen=True)
+class Addition:
+    """Submissions judged by the registry as it stood at a number; their verdicts are written, but not yet committed."""
+
+    spark: SparkSession
+    folder: str
+    seen: int
+    name: str
+
+    def commit(self) -> bool:
+        """Adds the accepted ones as the next number. False if another writer has taken it, so that they have to be judged again."""
+        return claim(self.spark, f"{self.folder}-added/log", self.seen + 1, self.name)
+
+    def verdicts(self) -> DataFrame:
+        """The submissions with status and reason, as they were written."""
+        return self.spark.read.parquet(f"{self.folder}-added/verdicts/commit={self.name}")
+
+
+def _written(validated: DataFrame, folder: str, seen: int) -> Addition:
+    addition = Addition(validated.sparkSession, folder, seen, uuid.uuid4().hex)
+    validated.write.parquet(f"{folder}-added/verdicts/commit={addition.name}")
+    return addition
+
+
+def propose(submissions: DataFrame, users: DataFrame, folder: str, order_by: str) -> Addition:
+    """Judges submissions by the registry as it stands and writes the verdicts; see ``validate_submissions``."""
+    spark = submissions.sparkSession
+    seen = last_number(spark, f"{folder}-added/log")
+    return _written(validate_submissions(submissions, read_registry_table(spark, folder, seen), users, order_by), folder, seen)
+
+
+def register(submissions: DataFrame, users: DataFrame, folder: str, order_by: str) -> DataFrame:
+    """Judges submissions, adds the accepted ones and returns the verdicts.
+
+    Several writers may do so at once: one that comes second judges again by what the first has added, so an identifier is accepted once.
+    """
+    while not (addition := propose(submissions, users, folder, order_by)).commit():
+        pass
+    return addition.verdicts()
 
 
 def append_to_registry(validated: DataFrame, folder: str) -> None:
-    """Adds the accepted submissions to the registry table; they take the place of older rows of their identifiers."""
-    accepted_agents(validated).withColumn("added_at", F.current_timestamp()).write.mode("append").parquet(folder)
+    """Adds the accepted submissions as they are judged already; they take the place of older rows of their identifiers."""
+    spark, log = validated.sparkSession, f"{folder}-added/log"
+    addition = _written(validated, folder, last_number(spark, log))
+    while not addition.commit():
+        addition = Addition(spark, folder, last_number(spark, log), addition.name)

@@ -24,6 +24,7 @@ PULL_STRUCT = "struct<html_url: string, merged_at: string, body: string, user: s
 
 AGENT = "name string, organization string, website string, status string"
 REGISTRY = "name string, organization string, github_identifier string, website string, status string"
+VERDICT = "identifier string, name string, organization string, website string, status string, commit string"
 
 ISSUE = (
     "url string, repo string, title string, number string, state string, "
