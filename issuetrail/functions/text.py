@@ -11,21 +11,22 @@ _HOUR_STAMP = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})(?:\.json[^/]*|/[^/]*)$"
 
 
 def decoded_path(path: Column) -> Column:
-    """Plain form of a metadata path, which Spark gives URL-encoded; a plus sign stays one."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """Plain form of a metadata path, which Spark gives URL-encoded; a plus sign stays one. Most paths have nothing to decode."""
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def file_name(path: Column) -> Column:
     """Plain form of a metadata path, the same for every format: with one slash after the scheme where no host is named, as some write three."""
-    return F.regexp_replace(decoded_path(path), "^([a-z0-9]+):///", "$1:/")
+    plain = decoded_path(path)
+    return F.when(path.contains(":///"), F.regexp_replace(plain, "^([a-z0-9]+):///", "$1:/")).otherwise(plain)
 
 
 def archive_date(path: Column) -> Column:
-    return F.try_to_date(F.nullif(F.regexp_extract(path, _HOUR_STAMP, 1), F.lit("")), "yyyy-MM-dd")
+    return F.regexp_extract(path, _HOUR_STAMP, 1).try_cast("date")
 
 
 def archive_hour(path: Column) -> Column:
-    return F.nullif(F.regexp_extract(path, _HOUR_STAMP, 2), F.lit("")).cast("int")
+    return F.regexp_extract(path, _HOUR_STAMP, 2).try_cast("int")
 
 
 def identifier_from_file(file_name: Column) -> Column:

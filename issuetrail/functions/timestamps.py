@@ -24,13 +24,11 @@ _MICROS_PER_DAY = 86_400_000_000
 
 
 def parse_iso(text: Column) -> Column:
-    """Instant of an ISO-8601 text; NULL when the text is missing or is not one.
-
-    The text occurs once in the expression, so that filters pushed through projections stay small.
-    """
+    """Instant of an ISO-8601 text; NULL when the text is missing or is not one. Nearly all texts are canonical, so that other forms are edited only if they occur."""
     dashed = F.regexp_replace(F.regexp_replace(text, _COMPACT_DATE, "$1-$2-$3"), _NO_SECONDS, "$1:00")
     zoned = F.regexp_replace(F.regexp_replace(dashed, _DATE_ONLY, "$1T00:00:00Z"), _NO_ZONE, "$1Z")
-    return F.try_to_timestamp(F.regexp_extract(zoned, _FULL_DATE, 0))
+    edited = F.try_to_timestamp(F.regexp_extract(zoned, _FULL_DATE, 0))
+    return F.when(text.rlike(_CANONICAL), F.try_to_timestamp(text)).otherwise(edited)
 
 
 def utc_text(moment: Column) -> Column:

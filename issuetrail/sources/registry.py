@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from issuetrail.functions.text import decoded_path, identifier_from_file
 from issuetrail.operators.registration import accepted_agents, validate_submissions
@@ -38,16 +40,19 @@ def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_registry_table(spark: SparkSession, folder: str, up_to: int | None = None) -> DataFrame:
     """One row per identifier: what was added last, or last up to a number. Rows that lay in the folder before are the oldest, by their time if they have one."""
+    columns = [*StructType.fromDDL(REGISTRY).names, "added_at", "number"]
+    found = []
     base = read_or_none(spark, folder, f"{REGISTRY}, added_at timestamp")
-    if base is None:
-        base = spark.createDataFrame([], f"{REGISTRY}, added_at timestamp")
-    rows = base.withColumn("number", F.lit(0).cast("bigint"))
+    if base is not None:
+        found.append(base.withColumn("number", F.lit(0).cast("bigint")))
     verdicts = read_or_none(spark, f"{folder}-added/verdicts", VERDICT)
     if verdicts is not None:
         log = read_log(spark, f"{folder}-added/log")
-        log = log if up_to is None else log.where(F.col("number") <= up_to)
-        numbered = verdicts.join(log, "commit")
-        rows = rows.unionByName(accepted_agents(numbered, "number"), allowMissingColumns=True)
+        numbered = verdicts.join(log if up_to is None else log.where(F.col("number") <= up_to), "commit")
+        found.append(accepted_agents(numbered, "number").withColumn("added_at", F.lit(None).cast("timestamp")))
+    if not found:
+        return spark.createDataFrame([], REGISTRY)
+    rows = reduce(DataFrame.unionByName, found).select(*columns)
     fields = [c for c in rows.columns if c not in ("github_identifier", "number", "added_at")]
     latest = rows.groupBy("github_identifier").agg(F.max(F.struct("number", "added_at", *fields)).alias("entry"))
     return latest.select(*[F.col(c if c == "github_identifier" else f"entry.{c}").alias(c) for c in rows.columns if c not in ("number", "added_at")])
