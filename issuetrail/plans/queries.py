@@ -274,7 +274,7 @@ def registry_scan(spark, sf_dir):
     """The registry written as one JSON file per agent and read back; identifiers, which are file names, aside."""
     folder = new_folder(spark, "registry-files")
     columns = ["name", "organization", "website", "status"]
-    testdata.registry(spark, sf_dir).select(*columns).write.option("maxRecordsPerFile", 1).json(folder)
+    registry.write_registry_files(testdata.registry(spark, sf_dir).select(*columns), folder)
     return registry.read_registry_files(spark, folder).select(*columns)
 
 

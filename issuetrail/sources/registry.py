@@ -38,6 +38,17 @@ def read_registry_files(spark: SparkSession, folder: str) -> DataFrame:
     ).select("entry.*", "github_identifier", "file_path")
 
 
+def write_registry_files(agents: DataFrame, folder: str, shelves: int = 64) -> None:
+    """One JSON file per row, dealt over folders that tasks write and commit side by side and that a reader lists side by side.
+
+    A task's files go to their place as it ends (the second form of Spark's file committer); the first has the driver move all of them, one after the other.
+    """
+    shelf = F.pmod(F.xxhash64(*agents.columns), F.lit(shelves)).alias("shelf")
+    dealt = agents.select("*", shelf).repartition(shelves, "shelf")
+    files = dealt.write.partitionBy("shelf").option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    files.json(folder)
+
+
 def read_registry_table(spark: SparkSession, folder: str, up_to: int | None = None) -> DataFrame:
     """One row per identifier: what was added last, or last up to a number. Rows that lay in the folder before are the oldest, by their time if they have one."""
     columns = [*StructType.fromDDL(REGISTRY).names, "added_at", "number"]
