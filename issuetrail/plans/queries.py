@@ -109,9 +109,11 @@ def reference_forms(spark, sf_dir):
         "see http://github.com/m/n/issues/%s or https://github.com/a/next.js/issues/%s",
         "o", "p", "s", "p", "s", "o",
     )
+    # the issue follows from what is shuffled, and isn't; few rows are equal, so that telling them apart before the shuffle too would spill nearly all
     found = rows.select("item", "pr_url", F.explode(references(text)).alias("reference"))
+    found = found.repartition("item", "pr_url", "reference").distinct()
     prefix = own_issue_prefix(F.col("pr_url"))
-    return found.select("item", "pr_url", "reference", referenced_issue(F.col("reference"), prefix).alias("issue_url")).distinct()
+    return found.select("item", "pr_url", "reference", referenced_issue(F.col("reference"), prefix).alias("issue_url"))
 
 
 # Resolution ---------------------------------------------------------------------------------------------
