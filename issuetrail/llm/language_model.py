@@ -9,13 +9,14 @@ of the documents gets its probability there, by a join per context length. Tasks
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from issuetrail.llm.common import LEAST, SPACE, ascii_lower, checkpointed, fold, pieces, table, written
+from issuetrail.llm.common import LEAST, ascii_lower, checkpointed, fold, pieces, table, written
 
 ORDER, SYMBOL, ALPHABET = 5, 9, 257
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -215,7 +216,9 @@ class Trie:
 
 def _split(texts: DataFrame, *keys: str) -> DataFrame:
     """(keys, word): a row for each word of `text`, A-Z in lower case."""
-    each = texts.select(*keys, F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''")
+    # by one character, texts are split without a regular expression; empty words go
+    spaced = reduce(lambda text, blank: F.replace(text, F.lit(blank), F.lit(" ")), "\t\n\v\f\r", F.col("text"))
+    each = texts.select(*keys, F.explode(F.split(spaced, " ")).alias("word")).where("word <> ''")
     return each.withColumn("word", F.when(F.lower("word") == F.col("word"), F.col("word")).otherwise(ascii_lower(F.col("word"))))
 
 
