@@ -18,7 +18,7 @@ from issuetrail.functions.timestamps import ISO_OUTPUT, normalize_timestamps, pa
 from issuetrail.operators import audit, issues, leaderboard, monthly, pulls, registration, resolution
 from issuetrail.plans.mining import Mined, mine_curated, mine_events, results_of
 from issuetrail.sources import archive, curated, ledger, registry, results, testdata
-from issuetrail.sources.session import new_folder, use_utc
+from issuetrail.sources.session import new_folder, side_by_side_writers, small_scans, use_utc
 from issuetrail.sources.testdata import PARAMS, table
 from issuetrail.streaming import incremental, maintained
 
@@ -335,12 +335,19 @@ def event_props(spark, sf_dir):
 def payload_fields(spark, sf_dir):
     """Events read with their payload as a variant: a field that the schema of events gives up as odd, and one that it does not name."""
     folder = new_folder(spark, "payloads")
-    _write_archive(spark, sf_dir, folder)
-    seen = archive.scan_payloads(spark, folder, file_glob=_WRITTEN)
-    author = field(F.col("payload"), "$.issue.user")
-    author = F.when(author.startswith("{"), F.lit("account")).otherwise(author)
-    found = seen.select("type", author.alias("author"), field(F.col("payload"), "$.issue.title").alias("title"))
-    return found.where(F.col("type").isNotNull()).groupBy("type", "author").agg(F.count("*").alias("events"), F.count_if(F.col("title").startswith("Order ")).alias("titled"))
+    _write_archive(spark, sf_dir, f"{folder}/archive")
+    found = _payload_fields(archive.scan_payloads(spark, f"{folder}/archive", file_glob=_WRITTEN))
+    counted = found.where(F.col("type").isNotNull()).groupBy("type", "author").agg(F.count("*").alias("events"), F.count_if(F.col("title").startswith("Order ")).alias("titled"))
+    with small_scans(spark):
+        counted.write.parquet(f"{folder}/counted")
+    return spark.read.parquet(f"{folder}/counted")
+
+
+def _payload_fields(seen):
+    """Type, author and title of events with their payload as a variant; both fields are taken in one pass over it."""
+    issue = field(F.col("payload"), "$", "struct<issue: struct<user: string, title: string>>")["issue"]
+    user, title = F.col("issue.user"), F.col("issue.title")
+    return seen.select("type", issue.alias("issue")).select("type", F.when(user.startswith("{"), F.lit("account")).otherwise(user).alias("author"), title.alias("title"))
 
 
 def oversized_lines(spark, sf_dir):
@@ -386,6 +393,22 @@ def days_open(spark, sf_dir):
 # Sources, sinks and incremental runs --------------------------------------------------------------------
 
 
+def _archive_lines(found, slot):
+    """The lines of each event as one text, so that each is made and moved once: the event, a broken line, and the event with an author that is no object."""
+    # Labels are raw JSON text in the frame and an array in the archive.
+    labels = F.from_json("payload.issue.labels", "array<struct<name: string>>")
+    payload = F.col("payload").withField("issue.labels", labels).alias("payload")
+    opened = (F.col("type") == "IssuesEvent") & F.col("payload.issue.closed_at").isNull()
+    shown = found.select(
+        F.to_json(F.struct("type", "id", "created_at", "repo", payload)).alias("event"),
+        F.when(F.col("type") == "PullRequestEvent", F.coalesce(F.concat(F.lit("{broken "), F.col("id")), F.lit(""))).alias("broken"),
+        opened.alias("opened"),
+        slot.alias("slot"),
+    )
+    odd = F.when(F.col("opened"), F.regexp_replace("event", '"labels":', '"user":"ghost","labels":'))
+    return shown.select(F.concat_ws("\n", "event", "broken", odd).alias("value"), "slot")
+
+
 def _write_archive(spark, sf_dir, folder, daily=False, days=None):
     """The events as gzipped JSON lines. A folder is one archive file's worth, named by month to keep them few; with ``daily``
     by day in the window, and outside by the end of the month that is farther from it.
@@ -400,27 +423,16 @@ def _write_archive(spark, sf_dir, folder, daily=False, days=None):
         after, before = day > F.lit(PARAMS.end.date()), day < F.lit(PARAMS.start.date())
         file_day = F.when(after, F.last_day(day)).when(before, file_day).otherwise(day)
     slot = F.concat(F.date_format(file_day, "yyyy-MM-dd"), F.lit("-0"))
-    # Labels are raw JSON text in the frame and an array in the archive.
-    labels = F.from_json("payload.issue.labels", "array<struct<name: string>>")
-    payload = F.col("payload").withField("issue.labels", labels).alias("payload")
-    event = F.to_json(F.struct("type", "id", "created_at", "repo", payload))
-    lines = found.select(event.alias("value"), slot.alias("slot"))
-    broken = found.where(F.col("type") == "PullRequestEvent").select(
-        F.concat(F.lit("{broken "), F.col("id")).alias("value"), slot.alias("slot")
-    )
-    opened = (F.col("type") == "IssuesEvent") & F.col("payload.issue.closed_at").isNull()
-    odd = found.where(opened).select(
-        F.regexp_replace(event, '"labels":', '"user":"ghost","labels":').alias("value"), slot.alias("slot")
-    )
-    (
-        lines.unionByName(broken)
-        .unionByName(odd)
-        .hint("rebalance", "slot")
-        .write.partitionBy("slot")
-        .option("compression", "gzip")
-        .mode("append")
-        .text(folder)
-    )
+    with side_by_side_writers(spark):
+        (
+            _archive_lines(found, slot)
+            .hint("rebalance", "slot")
+            .write.partitionBy("slot")
+            .option("compression", "gzip")
+            .option("zlib.compress.level", "BEST_SPEED")
+            .mode("append")
+            .text(folder)
+        )
 
 
 # Spark names its own text files; only the ending is known.

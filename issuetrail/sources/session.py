@@ -17,7 +17,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Bytes of archive files that a task reads; gzipped lines of events are about thirty times as long. And the longest
+# Bytes of archive files that a task reads; gzipped lines of events are twenty to thirty times as long. And the longest
 # method that the JVM compiles: Spark's own limit lets the generated code of a scan grow longer, and then it is interpreted.
 SCAN_SETTINGS = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.codegen.hugeMethodLimit": 8000}
 
@@ -41,6 +41,26 @@ def small_scans(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+# Fixed value: files that a task of a partitioned write has open at a time; with gzip each takes about half a megabyte.
+OPEN_FILES = 100
+
+
+@contextmanager
+def side_by_side_writers(spark: SparkSession) -> Iterator[None]:
+    """Within, a task of a partitioned write keeps a file open for each partition that it meets, and sorts only what it has beyond that many.
+
+    Without, it sorts all its rows first. What the session had, if not nothing, stands.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    if int(before) <= 0:
+        spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables.
 

@@ -6,12 +6,13 @@ import io
 import os
 
 import pytest
-from helpers import agents, issue_event, pull_event, write_archive
+from helpers import agents, comment_on_pull, frame, issue_event, pull_event, write_archive
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from issuetrail.plans import queries
 from issuetrail.sources import archive, curated, registry, testdata
-from issuetrail.sources.session import SCAN_SETTINGS, new_folder, small_scans
+from issuetrail.sources.session import SCAN_SETTINGS, new_folder, side_by_side_writers, small_scans
 from issuetrail.streaming import incremental, maintained
 
 SF = "/root/testdata/sf0.001"
@@ -97,3 +98,69 @@ def test_a_first_refresh_and_one_by_the_same_agents_join_no_more_than_they_need(
     # without any new epoch, a changed agent still touches what it is linked to
     assert [r[0] for r in maintained.touched_issues(spark, folder, [], changed).collect()] == [link]
     assert maintained.touched_issues(spark, folder, [], None).count() == 0
+
+
+def test_an_event_is_made_into_its_lines_once(spark):
+    events = [
+        issue_event(1, "2024-01-01T00:00:00Z", event_id="1"),
+        issue_event(2, "2024-01-01T00:00:00Z", closed="2024-01-02T00:00:00Z", event_id="2"),
+        comment_on_pull(3, "a", event_id="3"),
+        pull_event(4, "a", event_id="4"),
+        pull_event(5, "a", event_id=None),
+    ]
+    found = queries._archive_lines(frame(spark, events), F.lit("s"))
+    texts = [r["value"].split("\n") for r in found.collect()]
+    assert len(texts) == 5 and sorted(map(len, texts)) == [1, 1, 2, 2, 2]
+    seen = sorted(line for text in texts for line in text if not line.startswith('{"'))
+    assert seen == ["", "{broken 4"]
+    ghosts = [line for text in texts for line in text if '"user":"ghost"' in line]
+    assert len(ghosts) == 1 and ghosts[0].replace('"user":"ghost",', "") == next(t[0] for t in texts if '"id":"1"' in t[0])
+    tables = plan(queries._archive_lines(testdata.events(spark, SF), F.lit("s")))
+    assert tables.count(") Scan parquet") == 5
+
+
+def test_an_archive_is_written_without_a_sort(spark, monkeypatch):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen, make = spark.conf.get(name), [], queries._archive_lines
+    monkeypatch.setattr(queries, "_archive_lines", lambda *given: seen.append(int(spark.conf.get(name))) or make(*given))
+    queries._write_archive(spark, SF, new_folder(spark, "test-writers"))
+    assert seen[0] > 1 and spark.conf.get(name) == before
+    spark.conf.set(name, "3")
+    try:
+        with side_by_side_writers(spark):
+            assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_more_partitions_than_open_files_are_written_whole(spark):
+    folder = new_folder(spark, "test-many-files")
+    with side_by_side_writers(spark):
+        spark.range(3000).coalesce(1).select(F.col("id").cast("string").alias("value"), (F.col("id") % 150).alias("slot")).write.partitionBy("slot").text(folder)
+    assert spark.read.text(folder).select("value").distinct().count() == 3000
+
+
+def test_fields_of_a_payload_are_taken_in_one_pass(spark, tmp_path):
+    issues = ['{"user":"ghost","title":"t"}', '{"user":{"login":"a"},"title":7}', '{"user":"{x","title":null}', '{"title":["t"]}', '{}', '"text"', "null"]
+    lines = [f'{{"type":"{i}","payload":{{"issue":{text},"more":1}}}}' for i, text in enumerate(issues)]
+    lines += ['{"type":"7","payload":{}}', '{"type":"8"}', '{"type":"9","payload":[1]}', '{"type":"10","payload":"text"}']
+    write_archive(str(tmp_path / "a"), {"2024-01-02-0": lines})
+    found = queries._payload_fields(archive.scan_payloads(spark, str(tmp_path / "a")))
+    expected = {"0": ("ghost", "t"), "1": ("account", "7"), "2": ("account", None), "3": (None, '["t"]')}
+    assert {r["type"]: (r["author"], r["title"]) for r in found.collect()} == {str(i): expected.get(str(i), (None, None)) for i in range(11)}
+    assert plan(found).count("try_variant_get") == 1
+
+
+def test_payloads_are_scanned_in_small_tasks(spark, monkeypatch):
+    before, seen, deal = settings(spark), [], queries.small_scans
+
+    @contextlib.contextmanager
+    def watched(session):
+        with deal(session):
+            yield seen.append(settings(session))
+
+    monkeypatch.setattr(queries, "small_scans", watched)
+    found = entry.queries()["payload_fields"](spark, SF)
+    assert seen == [{name: str(most) for name, most in SCAN_SETTINGS.items()}] and settings(spark) == before
+    # what is left to do afterwards is to read the counts
+    assert "try_variant_get" not in plan(found) and found.count() == 5
