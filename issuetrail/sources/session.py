@@ -41,7 +41,7 @@ def small_scans(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
-# Fixed value: files that a task of a partitioned write has open at a time; with gzip each takes about half a megabyte.
+# Fixed value: files that a task of a partitioned write has open at a time, each with its compressor and buffers.
 OPEN_FILES = 100
 
 
