@@ -3,6 +3,7 @@
 import contextlib
 import glob
 import io
+import json
 import os
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from issuetrail.plans import queries
-from issuetrail.sources import archive, curated, registry, testdata
+from issuetrail.sources import archive, curated, registry, results, testdata
 from issuetrail.sources.session import SCAN_SETTINGS, new_folder, side_by_side_writers, small_scans
 from issuetrail.streaming import incremental, maintained
 
@@ -164,3 +165,35 @@ def test_payloads_are_scanned_in_small_tasks(spark, monkeypatch):
     assert seen == [{name: str(most) for name, most in SCAN_SETTINGS.items()}] and settings(spark) == before
     # what is left to do afterwards is to read the counts
     assert "try_variant_get" not in plan(found) and found.count() == 5
+
+
+def test_no_document_is_one_row(spark):
+    """Each of several documents is written an entry a line; joined, its lines are a JSON text of its own."""
+    folder = new_folder(spark, "test-lines")
+    board = spark.createDataFrame([(f"N{n}", None, f"a{n}", n) for n in range(40)] + [("no one", None, None, 1)], results.LEADERBOARD)
+    monthly = spark.createDataFrame([(f'N"{n}', month, n) for n in range(40) for month in ("2024-02", "2024-01")], results.MONTHLY)
+    wanted = spark.createDataFrame([(f"u{n}" if n % 50 else None, "o/r", "t\n,", str(n), "open", "N/A", None, ["x"]) for n in range(1000)], results.ISSUE)
+    run = spark.createDataFrame([("now", 180, 30, ["a"], ["bug"])], results.RUN)
+    results.write_documents(results.Results(board, monthly, wanted, run), folder, shards=4)
+    found = []
+    for n in range(4):
+        names = sorted(glob.glob(f"{folder}/document={n}/section=*/part-*"), key=lambda name: (os.path.basename(os.path.dirname(name)), name))
+        lines = [line for name in names for line in open(name).read().splitlines()]
+        assert max(map(len, lines)) < 300
+        found.append(json.loads("".join(lines)))
+    assert sum(len(d["wanted_issues"]) for d in found) == 1000 and all(d["monthly_metrics"]["months"] == ["2024-01", "2024-02"] for d in found)
+    assert sorted(key for d in found for key in d["leaderboard"]) == sorted(f"a{n}" for n in range(40))
+    assert {key: series["monthly_resolved"] for d in found for key, series in d["monthly_metrics"]["data"].items()} == {f'N"{n}': [n, n] for n in range(40)}
+    read = results.read_documents(spark, folder)
+    assert (read.leaderboard.count(), read.monthly.count(), read.wanted.count(), read.run.count()) == (40, 80, 1000, 4)
+    assert read.wanted.where("url = ''").count() == 20 and read.leaderboard.where("website = 'N/A'").count() == 40
+    twice = results.Results(board.union(board), monthly, wanted, run)
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        results.write_documents(twice, new_folder(spark, "test-twice"), shards=4)
+
+
+def test_documents_made_elsewhere_are_read_by_line(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "one.json").write_text('{"leaderboard":{"x":{}}}\n{"wanted_issues":[{"url":"u"}]}\n')
+    read = results.read_documents(spark, str(tmp_path / "d"))
+    assert tuple(read.leaderboard.first()) == ("Unknown", "N/A", "x", 0) and read.wanted.first()["labels"] == [] and read.run.count() == 2
