@@ -5,15 +5,18 @@ import glob
 import io
 import json
 import os
+import time
 
 import pytest
 from helpers import agents, comment_on_pull, frame, issue_event, pull_event, write_archive
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from issuetrail.functions.references import references
+from issuetrail.functions.text import archive_hour
 from issuetrail.plans import queries
 from issuetrail.sources import archive, curated, registry, results, testdata
-from issuetrail.sources.session import SCAN_SETTINGS, new_folder, side_by_side_writers, small_scans
+from issuetrail.sources.session import SCAN_SETTINGS, dropped_shuffles, new_folder, side_by_side_writers, small_scans
 from issuetrail.streaming import incremental, maintained
 
 SF = "/root/testdata/sf0.001"
@@ -197,3 +200,51 @@ def test_documents_made_elsewhere_are_read_by_line(spark, tmp_path):
     (tmp_path / "d" / "one.json").write_text('{"leaderboard":{"x":{}}}\n{"wanted_issues":[{"url":"u"}]}\n')
     read = results.read_documents(spark, str(tmp_path / "d"))
     assert tuple(read.leaderboard.first()) == ("Unknown", "N/A", "x", 0) and read.wanted.first()["labels"] == [] and read.run.count() == 2
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_shuffles_of_an_archive_go_when_it_is_written(spark):
+    before = shuffle_files(spark)
+    queries._write_archive(spark, SF, new_folder(spark, "test-shuffles"))
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
+def test_settings_of_shuffles_come_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(KeyError), dropped_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+        raise KeyError
+    assert spark.conf.get(name) == before
+
+
+def test_curated_rows_are_written_small_and_without_a_sort(spark, tmp_path, monkeypatch):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    seen, make = [], curated.curated
+    monkeypatch.setattr(curated, "curated", lambda *given: seen.append(int(spark.conf.get(name))) or make(*given))
+    write_archive(str(tmp_path / "a"), {"2024-01-02-0": [pull_event(1, "a"), issue_event(1, "2024-01-02T00:00:00Z"), "{bad"], "more": [pull_event(2, "a")]})
+    folder = new_folder(spark, "test-codec")
+    curated.write_curated(archive.scan_archive(spark, str(tmp_path / "a")), PARAMS, folder)
+    files = glob.glob(f"{folder}/*/*/*.parquet")
+    assert seen[0] > 1 and len(files) == 4 and all(name.endswith(".zstd.parquet") for name in files)
+
+
+def test_only_the_end_of_a_path_is_searched_for_its_hour(spark):
+    paths = ["/a/2024-01-02-3/x/2024-01-02-4.json.gz", "/a/slot=2024-01-02-5/part-0.gz", "/a/2024-01-02-3/x/part-0.gz", "2024-01-02-6.json.gz", "2024-01-02-7/x", "/a/12024-01-02-8.json", None, ""]
+    found = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", archive_hour(F.col("p")).alias("hour"))
+    assert {r["i"]: r["hour"] for r in found.collect()} == {0: 4, 1: 5, 2: None, 3: 6, 4: 7, 5: 8, 6: None, 7: None}
+    assert "substring_index" in plan(found)
+
+
+def test_texts_that_can_have_no_reference_are_not_searched(spark):
+    texts = ["Refactor", "#12 and #12", "see HTTPS://GitHub.com/a/b/ISSUES/3", "http://x", "# 1", "", None, "github.com/a/b/issues/3"]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", references(F.col("t")).alias("r"))
+    assert {r["i"]: r["r"] for r in found.collect()} == {0: [], 1: ["#12"], 2: ["HTTPS://GitHub.com/a/b/ISSUES/3"], 3: [], 4: [], 5: [], 6: None, 7: []}
+    assert "contains" in plan(found).lower()
