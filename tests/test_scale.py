@@ -248,3 +248,16 @@ def test_texts_that_can_have_no_reference_are_not_searched(spark):
     found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", references(F.col("t")).alias("r"))
     assert {r["i"]: r["r"] for r in found.collect()} == {0: [], 1: ["#12"], 2: ["HTTPS://GitHub.com/a/b/ISSUES/3"], 3: [], 4: [], 5: [], 6: None, 7: []}
     assert "contains" in plan(found).lower()
+
+
+def test_kept_state_is_small_and_leaves_no_shuffles(spark, tmp_path):
+    source, folder = str(tmp_path / "archive"), new_folder(spark, "test-state")
+    write_archive(source, {"2024-01-02-0": [pull_event(1, "a", body="#7"), issue_event(7, "2024-01-02T00:00:00Z")]})
+    before = shuffle_files(spark)
+    incremental.fold_new_files(spark, source, folder, PARAMS)
+    files = glob.glob(f"{folder}/state/*/*/*/*/*.parquet")
+    assert len(files) == 3 and all(name.endswith(".zstd.parquet") for name in files)
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
