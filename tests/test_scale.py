@@ -261,3 +261,15 @@ def test_kept_state_is_small_and_leaves_no_shuffles(spark, tmp_path):
     while shuffle_files(spark) - before and time.time() < end:
         time.sleep(0.2)
     assert not shuffle_files(spark) - before
+
+
+@pytest.mark.parametrize("large, at_once", [(1, 1), (1 << 40, 3)])
+def test_state_tables_of_a_large_batch_are_written_one_by_one(spark, tmp_path, monkeypatch, large, at_once):
+    source, folder = str(tmp_path / "archive"), new_folder(spark, "test-large")
+    write_archive(source, {"2024-01-02-0": [pull_event(1, "a", body="#7"), issue_event(7, "2024-01-02T00:00:00Z")]})
+    seen, pool = [], incremental.ThreadPoolExecutor
+    monkeypatch.setattr(incremental, "LARGE_BATCH", large)
+    monkeypatch.setattr(incremental, "ThreadPoolExecutor", lambda most: seen.append(most) or pool(most))
+    incremental.fold_new_files(spark, source, folder, PARAMS)
+    mined = incremental.read_state(spark, folder)
+    assert seen == [at_once] and [part.count() for part in (mined.issues, mined.facts, mined.links)] == [1, 1, 1]
