@@ -8,7 +8,7 @@ import os
 import time
 
 import pytest
-from helpers import agents, comment_on_pull, frame, issue_event, pull_event, write_archive
+from helpers import agents, comment_on_pull, frame, issue_event, pull_event, random_events, write_archive
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -273,3 +273,25 @@ def test_state_tables_of_a_large_batch_are_written_one_by_one(spark, tmp_path, m
     incremental.fold_new_files(spark, source, folder, PARAMS)
     mined = incremental.read_state(spark, folder)
     assert seen == [at_once] and [part.count() for part in (mined.issues, mined.facts, mined.links)] == [1, 1, 1]
+
+
+def test_much_new_state_is_resolved_as_a_whole(spark, tmp_path, monkeypatch):
+    """The outcomes are those of a refresh that looks for what is touched."""
+    source, one, other, known = str(tmp_path / "archive"), new_folder(spark, "test-much"), new_folder(spark, "test-little"), agents(spark, "a", "b")
+    events = sorted(random_events(31), key=lambda e: e["created_at"])
+    shown = lambda folder: sorted(map(repr, maintained.read_outcomes(spark, folder).collect()))
+    for number, part in enumerate((events[:150], events[150:])):
+        write_archive(source, {f"2024-01-02-{number}": part})
+        for folder in (one, other):
+            incremental.fold_new_files(spark, source, folder, PARAMS)
+        with monkeypatch.context() as watched:
+            watched.setattr(maintained, "touched_issues", lambda *given, **named: 1 / 0)
+            assert maintained.refresh(spark, one, known, buckets=8, much=1) == len(shown(one)) > 0
+        maintained.refresh(spark, other, known, buckets=8)
+        assert shown(one) == shown(other)
+    # a small part of the state, or none that is new, is looked for
+    write_archive(source, {"2024-01-02-2": [issue_event(5000, "2024-01-02T00:00:00Z")]})
+    incremental.fold_new_files(spark, source, one, PARAMS)
+    last = maintained._new_epochs(spark, one, 2)
+    assert len(last) == 1 and maintained.is_much(spark, one, last, 1 << 40) is False and maintained.is_much(spark, one, [], 1) is False
+    assert maintained.refresh(spark, one, known) == 1
