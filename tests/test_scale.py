@@ -295,3 +295,10 @@ def test_much_new_state_is_resolved_as_a_whole(spark, tmp_path, monkeypatch):
     last = maintained._new_epochs(spark, one, 2)
     assert len(last) == 1 and maintained.is_much(spark, one, last, 1 << 40) is False and maintained.is_much(spark, one, [], 1) is False
     assert maintained.refresh(spark, one, known) == 1
+
+
+def test_versions_are_made_of_rows_that_are_parsed_once(spark, monkeypatch):
+    seen, write = [], curated.write_version
+    monkeypatch.setattr(curated, "write_version", lambda rows, *given: seen.append(plan(rows)) or write(rows, *given))
+    assert entry.queries()["versioned_leaderboard"](spark, SF).count() == 8
+    assert len(seen) == 2 and all("Scan parquet" in text and "Scan json" not in text for text in seen)
